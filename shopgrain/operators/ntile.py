@@ -10,7 +10,7 @@ counting:
    each bucket on its own;
 4. a row's tile is one plus the number of tile ends before it.
 
-The sample only decides how even the buckets are; the result is exact.
+Where the sample holds every row, it gives the ends of the tiles itself. The sample only decides how even the buckets are; the result is exact.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import Order, Place, bucket_count, sample_bounds
+from .ordering import Order, Place, bucket_count, rows_of_sample, sample_bounds, sampled_rate
 
 
 def tile_ends(rows: int, tiles: int) -> list[int]:
@@ -43,13 +43,26 @@ def add_tiles(
     if not rows:
         return frame.withColumns({name: F.lit(1) for name in scores})
     orders = {name: Order(frame, [value], ident) for name, value in scores.items()}
+    last_rows = _rows_at(frame, rows, ident, tile_ends(rows, tiles), orders, buckets)
+    return frame.withColumns(
+        {name: F.lit(1) + order.places_before(ends) for (name, order), ends in zip(orders.items(), last_rows)}
+    )
+
+
+def _rows_at(
+    frame: DataFrame, rows: int, ident: str, numbers: Sequence[int], orders: Mapping[str, Order], buckets: int | None
+) -> list[list[Place]]:
+    """The rows with the given numbers, from 1, in each order."""
+    if buckets is None and sampled_rate(rows) == 1:
+        return rows_of_sample(frame, rows, [ident], list(orders.values()), [number - 1 for number in numbers])
     bounds = sample_bounds(frame, rows, [ident], list(orders.values()), buckets or bucket_count(rows))
     bucket_of = {
         name: order.places_before(cuts).cast("int") for (name, order), cuts in zip(orders.items(), bounds)
     }
     sizes = _bucket_sizes(frame, bucket_of)
-    ends = _rows_at(frame, tile_ends(rows, tiles), orders, bucket_of, sizes)
-    return frame.withColumns({name: F.lit(1) + order.places_before(ends[name]) for name, order in orders.items()})
+    spots = {name: _within_buckets(numbers, sizes[name]) for name in orders}
+    found = _rows_in_buckets(frame, spots, orders, bucket_of)
+    return [[found[(name, *spot)] for spot in spots[name]] for name in orders]
 
 
 def _bucket_sizes(frame: DataFrame, bucket_of: Mapping[str, Column]) -> dict[str, dict[int, int]]:
@@ -64,37 +77,31 @@ def _bucket_sizes(frame: DataFrame, bucket_of: Mapping[str, Column]) -> dict[str
     return sizes
 
 
-def _rows_at(
+def _rows_in_buckets(
     frame: DataFrame,
-    numbers: Sequence[int],
+    spots: Mapping[str, Sequence[tuple[int, int]]],
     orders: Mapping[str, Order],
     bucket_of: Mapping[str, Column],
-    sizes: Mapping[str, Mapping[int, int]],
-) -> dict[str, list[Place]]:
-    """The rows with the given numbers in each order.
-
-    Only the buckets that hold a wanted row are numbered.
-    """
-    wanted = {name: _within_buckets(numbers, sizes[name]) for name in orders}
+) -> dict[tuple[str, int, int], Place]:
+    """The rows at the wanted spots; only buckets that hold one are numbered."""
     branches = []
     for name, order in orders.items():
         window = Window.partitionBy("bucket").orderBy("position")
         numbered = (
             frame.select(bucket_of[name].alias("bucket"), order.position.alias("position"))
-            .filter(F.col("bucket").isin(*{bucket for bucket, _ in wanted[name]}))
+            .filter(F.col("bucket").isin({bucket for bucket, _ in spots[name]}))
             .withColumn("number", F.row_number().over(window))
         )
-        hits = [(F.col("bucket") == bucket) & (F.col("number") == number) for bucket, number in set(wanted[name])]
+        hits = [(F.col("bucket") == bucket) & (F.col("number") == number) for bucket, number in set(spots[name])]
         branches.append(
             numbered.filter(reduce(Column.__or__, hits)).select(
                 F.lit(name).alias("name"), "bucket", "number", order.as_text(F.col("position")).alias("place")
             )
         )
-    found = {
+    return {
         (row["name"], row["bucket"], row["number"]): tuple(row["place"])
         for row in reduce(DataFrame.union, branches).collect()
     }
-    return {name: [found[(name, *at)] for at in wanted[name]] for name in orders}
 
 
 def _within_buckets(numbers: Sequence[int], sizes: Mapping[int, int]) -> list[tuple[int, int]]:

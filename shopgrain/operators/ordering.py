@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 500_000
 MIN_BUCKETS, MAX_BUCKETS = 4, 512
-SAMPLE_PER_BUCKET = 40
+SAMPLE_ROWS = 20_000
 FEW = 8
 
 # The values and id of a row as text; Spark casts them back.
@@ -57,6 +57,11 @@ class Order:
         return F.size(F.filter(listed, lambda place: place < self.position))
 
 
+def sampled_rate(rows: int) -> int:
+    """One row in how many is sampled; all of them when they are few."""
+    return max(1, -(-rows // SAMPLE_ROWS))
+
+
 def sample_bounds(
     frame: DataFrame, rows: int, key: Sequence[str], orders: Sequence[Order], buckets: int
 ) -> list[list[Place]]:
@@ -64,18 +69,29 @@ def sample_bounds(
 
     `key` names the columns that tell rows apart.
     """
-    one_in = max(1, rows // (buckets * SAMPLE_PER_BUCKET))
-    sampled = frame.filter(F.pmod(F.xxhash64(*key), F.lit(one_in)) == 0)
-    # Spark sorts the sample, so that bounds and comparisons share one order.
-    in_order = sampled.agg(
+    expected = rows // sampled_rate(rows)
+    cuts = sorted({expected * cut // buckets for cut in range(1, buckets)})
+    return rows_of_sample(frame, rows, key, orders, cuts)
+
+
+def rows_of_sample(
+    frame: DataFrame, rows: int, key: Sequence[str], orders: Sequence[Order], numbers: Sequence[int]
+) -> list[list[Place]]:
+    """Rows of the sorted sample by number from 0, for each order.
+
+    Spark sorts the sample, so that bounds and comparisons share one order.
+    Numbers past the end of the sample are left out.
+    """
+    sampled = frame
+    if sampled_rate(rows) > 1:
+        sampled = frame.filter(F.pmod(F.xxhash64(*key), F.lit(sampled_rate(rows))) == 0)
+    sorted_sample = sampled.agg(
         *[F.sort_array(F.collect_list(order.position)).alias(f"o{at}") for at, order in enumerate(orders)]
     )
-    picked = in_order.select(
-        *[F.transform(f"o{at}", order.as_text).alias(f"o{at}") for at, order in enumerate(orders)]
-    ).first()
-    return [_even_picks([tuple(place) for place in places], buckets) for places in picked]
+    wanted = F.array(*map(F.lit, numbers))
 
+    def picked(at: int, order: Order) -> Column:
+        return F.transform(wanted, lambda number: order.as_text(F.get(f"o{at}", number))).alias(f"o{at}")
 
-def _even_picks(places: list[Place], buckets: int) -> list[Place]:
-    cuts = sorted({len(places) * cut // buckets for cut in range(1, buckets)})
-    return [places[cut] for cut in cuts if cut < len(places)]
+    picks = sorted_sample.select(*[picked(at, order) for at, order in enumerate(orders)]).first()
+    return [[tuple(place) for place in places if place[-1] is not None] for places in picks]

@@ -40,16 +40,19 @@ def customer_base(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def score(base: DataFrame) -> DataFrame:
-    """Quintile scores by distributed NTILE; ties fall in order of customer id."""
-    tiled = add_tiles(settle(base), TILES, "CustomerID", {f"_{s}": value for s, value in SCORES.items()})
+def score(base: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Quintile scores by distributed NTILE; ties fall in order of customer id.
+
+    `buckets` overrides the number of buckets that follows from the row count.
+    """
+    tiled = add_tiles(settle(base), TILES, "CustomerID", {f"_{s}": value for s, value in SCORES.items()}, buckets)
     return _scored(tiled, {s: F.col(f"_{s}") for s in SCORES})
 
 
 def score_by_window(base: DataFrame) -> DataFrame:
     """The same scores by the built-in window, which sorts in one task.
 
-    For customer counts known to be small, and as a check of `score`.
+    A check of `score` on data known to be small.
     """
     return _scored(
         base, {s: F.ntile(TILES).over(Window.orderBy(value, "CustomerID")) for s, value in SCORES.items()}
@@ -88,8 +91,8 @@ def label(scored: DataFrame) -> DataFrame:
     return scored.select(*contract_columns("customer_rfm", values))
 
 
-def customer_rfm(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return label(score(customer_base(sales, dim_date)))
+def customer_rfm(sales: DataFrame, dim_date: DataFrame, buckets: int | None = None) -> DataFrame:
+    return label(score(customer_base(sales, dim_date), buckets))
 
 
 def segment_distribution(rfm: DataFrame) -> DataFrame:

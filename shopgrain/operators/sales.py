@@ -1,30 +1,30 @@
 """Unified sales fact: five order feeds conformed to one line-level schema.
 
 Each feed has one rule: given its raw columns it yields the contract columns it
-knows, and says which lines count. The rules are used in two ways:
+knows, those of the order and those of the line, and says which rows count. The
+rules are used in two ways:
 
 * `union_feeds`  - every feed has its own raw tables; five selects are stacked.
-* `conform_tagged` - the lines of all feeds lie in one table with a feed tag;
-  one select computes them in a single pass, so the lines are scanned and joined
-  to their orders once instead of five times.
+* `conform_tagged` - the orders of all feeds lie in one table with a feed tag,
+  and their lines in another. Both are scanned and joined once instead of five
+  times; order columns are computed per order, before lines multiply them.
 
 Both give the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import vocabulary as words
 from ..functions.clean import (
     date_key,
-    decimal,
-    flag,
     is_code,
     joined_text,
     mentions,
@@ -37,7 +37,35 @@ from ..functions.clean import (
 )
 from ..sources.contract import as_column, contract_columns, output_schema
 
-Raw = Mapping[str, Column]
+
+class Raw(Mapping[str, Column]):
+    """Raw columns of a feed by name; `typed` ones hold dates as dates."""
+
+    def __init__(self, columns: Mapping[str, Column], typed: frozenset[str] = frozenset()):
+        self.columns, self.typed = dict(columns), typed
+
+    @classmethod
+    def of(cls, frame: DataFrame, alias: str | None = None) -> Raw:
+        prefix = f"{alias}." if alias else ""
+        dates = (T.DateType, T.TimestampType, T.TimestampNTZType)
+        typed = frozenset(f.name for f in frame.schema if isinstance(f.dataType, dates))
+        return cls({name: F.col(prefix + name) for name in frame.columns}, typed)
+
+    def __getitem__(self, name: str) -> Column:
+        return self.columns[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.columns)
+
+    def __len__(self) -> int:
+        return len(self.columns)
+
+    def __or__(self, other: Mapping[str, Column]) -> Raw:
+        return Raw(self.columns | dict(other), self.typed | getattr(other, "typed", frozenset()))
+
+    def day(self, name: str) -> Column:
+        """The column as a date; only text has to be parsed."""
+        return self[name].cast("date") if name in self.typed else parse_date(self[name])
 
 
 @dataclass(frozen=True)
@@ -45,22 +73,24 @@ class FeedRule:
     """How one feed becomes sales lines."""
 
     name: str
-    values: Callable[[Raw], dict]
-    keep: Callable[[Raw], Column] | None = None
+    order: Callable[[Raw], dict]
+    line: Callable[[Raw], dict]
+    keep_order: Callable[[Raw], Column] | None = None
+    keep_line: Callable[[Raw], Column] | None = None
 
-    def contract(self, raw: Raw) -> dict:
-        """Contract values of a line; columns the feed lacks stay out."""
-        shared = {
+    def order_values(self, raw: Raw) -> dict:
+        labels = {
             "Channel": words.CHANNEL[self.name],
             "ChannelGroup": words.CHANNEL_GROUP[self.name],
             "Platform": words.PLATFORM[self.name],
-            "PlatformFee": 0,
-            "ShippingFee": 0,
             "IsUnknown": False,
         }
-        if words.CHANNEL_GROUP[self.name] == "Ecom":
-            shared["SourceID"] = words.CHANNEL[self.name]
-        return shared | self.values(raw)
+        if words.CHANNEL_GROUP[self.name] == words.TARGET_ECOM_CHANNEL:
+            labels["SourceID"] = words.CHANNEL[self.name]
+        return labels | self.order(raw)
+
+    def line_values(self, raw: Raw) -> dict:
+        return {"PlatformFee": 0, "ShippingFee": 0} | self.line(raw)
 
 
 def _ordered_on(day: Column) -> dict:
@@ -71,26 +101,15 @@ def _positive(value: Column) -> Column:
     return F.coalesce(value > 0, F.lit(False))
 
 
-def _store(raw: Raw) -> dict:
-    discount = money(raw["DiscItemValue"])
-    after_discount = money(raw["Qty"]) * money(raw["StandardPrice"]) - discount
+def _store_order(raw: Raw) -> dict:
     status = raw["Status"]
     return {
         "OrderID": raw["OrderCode"],
-        "LineID": joined_text(raw["OrderCode"], raw["SKUCode"], "_"),
-        **_ordered_on(raw["DocDate"].cast("date")),
+        **_ordered_on(raw.day("DocDate")),
         "StoreID": raw["SiteID"],
         "EmpID": raw["SalesNo"],
-        "SKUCode": raw["SKUCode"],
         "CustomerID": raw["CustID"],
         "CustomerName": raw["CustName"],
-        "Quantity": raw["Qty"].cast("int"),
-        "SalePrice": money(raw["UnitPrice"]),
-        "ListPrice": money(raw["StandardPrice"]),
-        "DiscountAmount": discount,
-        "GMV": after_discount,
-        "NetRevenue": after_discount,
-        "ShippingFee": money(raw["ShipCost"]),
         "StatusRaw": text(status),
         "StatusName": raw["StatusName"],
         "IsSuccess": is_code(status, words.STORE_SUCCESS),
@@ -101,25 +120,52 @@ def _store(raw: Raw) -> dict:
     }
 
 
-def _store_keep(raw: Raw) -> Column:
+def _store_line(raw: Raw) -> dict:
+    discount = money(raw["DiscItemValue"])
+    after_discount = money(raw["Qty"]) * money(raw["StandardPrice"]) - discount
+    return {
+        "LineID": joined_text(raw["OrderCode"], raw["SKUCode"], "_"),
+        "SKUCode": raw["SKUCode"],
+        "Quantity": raw["Qty"].cast("int"),
+        "SalePrice": money(raw["UnitPrice"]),
+        "ListPrice": money(raw["StandardPrice"]),
+        "DiscountAmount": discount,
+        "GMV": after_discount,
+        "NetRevenue": after_discount,
+        "ShippingFee": money(raw["ShipCost"]),
+    }
+
+
+def _neither_free_nor_exchanged(raw: Raw) -> Column:
     return (raw["IsFreeitem"] == 0) & (raw["IsExchange"] == 0)
 
 
-def _telesales(raw: Raw) -> dict:
-    paid, listed = money(raw["UnitPrice"]), money(raw["OriginalPrice"])
-    total = money(raw["Total"])
+def _telesales_order(raw: Raw) -> dict:
     status = raw["StatusID"]
     return {
         "OrderID": text(raw["OrderID"]),
-        "LineID": text(raw["ItemID"]),
-        **_ordered_on(parse_date(raw["CreateDate"])),
-        "SuccessDate": parse_date(raw["SuccessDate"]),
+        **_ordered_on(raw.day("CreateDate")),
         "EmpID": raw["AssignTo"],
-        "SKUCode": raw["ProductID"],
         "CustomerID": text(raw["CustomerID"]),
         "CustomerName": raw["CustomerName"],
         "CustomerProvince": raw["Provinces"],
         "PaymentMethod": text(raw["PaymentMethod"], 100),
+        "StatusRaw": text(status),
+        "StatusName": raw["StatusName"],
+        "IsSuccess": is_code(status, words.TELESALES_SUCCESS),
+        "IsCancelled": is_code(status, words.TELESALES_CANCELLED),
+        "SourceID": text(raw["Source"], 20),
+        "OrderType": text(raw["CategoryID"], 50),
+    }
+
+
+def _telesales_line(raw: Raw) -> dict:
+    paid, listed = money(raw["UnitPrice"]), money(raw["OriginalPrice"])
+    total = money(raw["Total"])
+    return {
+        "LineID": text(raw["ItemID"]),
+        "SuccessDate": raw.day("SuccessDate"),
+        "SKUCode": raw["ProductID"],
         "Quantity": whole(raw["Quantity"]),
         "SalePrice": paid,
         "ListPrice": listed,
@@ -127,31 +173,35 @@ def _telesales(raw: Raw) -> dict:
         "GMV": total,
         "NetRevenue": total,
         "ShippingFee": money(raw["ShipPrice"]),
-        "StatusRaw": text(status),
-        "StatusName": raw["StatusName"],
-        "IsSuccess": is_code(status, words.TELESALES_SUCCESS),
-        "IsCancelled": is_code(status, words.TELESALES_CANCELLED),
-        "SourceID": text(raw["Source"], 20),
-        "OrderType": text(raw["CategoryID"], 50),
     }
 
 
-def _telesales_keep(raw: Raw) -> Column:
+def _not_deleted(raw: Raw) -> Column:
     return raw["IsDelete"] == 0
 
 
-def _lazada(raw: Raw) -> dict:
-    paid = money(raw["paidPrice"])
+def _lazada_order(raw: Raw) -> dict:
     status = raw["status"]
     return {
         "OrderID": text(raw["orderNumber"]),
-        "LineID": text(raw["orderItemId"]),
-        **_ordered_on(parse_date(raw["createTime"])),
-        "SuccessDate": parse_date(raw["deliveredDate"]),
-        "SKUCode": raw["sellerSku"],
+        **_ordered_on(raw.day("createTime")),
         "CustomerName": raw["customerName"],
         "CustomerProvince": raw["shippingCity"],
         "PaymentMethod": raw["payMethod"],
+        "StatusRaw": status,
+        "StatusName": status,
+        "IsSuccess": same_text(status, words.LAZADA_SUCCESS),
+        "IsCancelled": mentions(status, words.LAZADA_CANCELLED),
+        "OrderType": raw["orderType"],
+    }
+
+
+def _lazada_line(raw: Raw) -> dict:
+    paid = money(raw["paidPrice"])
+    return {
+        "LineID": text(raw["orderItemId"]),
+        "SuccessDate": raw.day("deliveredDate"),
+        "SKUCode": raw["sellerSku"],
         "Quantity": 1,
         "SalePrice": paid,
         "ListPrice": money(raw["unitPrice"]),
@@ -159,31 +209,36 @@ def _lazada(raw: Raw) -> dict:
         "GMV": paid,
         "NetRevenue": paid,
         "ShippingFee": money(or_zero(raw["shippingFee"])),
+    }
+
+
+def _shopee_order(raw: Raw) -> dict:
+    status = raw["TrangThaiDonHang"]
+    return {
+        "OrderID": raw["MaDonHang"],
+        **_ordered_on(raw.day("NgayDatHang")),
+        "CustomerName": raw["TenNguoiNhan"],
+        "CustomerProvince": raw["TinhThanhPho"],
+        "CustomerDistrict": raw["QuanHuyen"],
+        "CustomerWard": raw["PhuongXa"],
+        "PaymentMethod": raw["PhuongThucThanhToan"],
         "StatusRaw": status,
         "StatusName": status,
-        "IsSuccess": same_text(status, words.LAZADA_SUCCESS),
-        "IsCancelled": mentions(status, words.LAZADA_CANCELLED),
-        "OrderType": raw["orderType"],
+        "IsSuccess": mentions(status, words.SHOPEE_SUCCESS),
+        "IsCancelled": mentions(status, words.VIETNAMESE_CANCELLED),
+        "OrderType": raw["LoaiDonHang"],
     }
 
 
-def _shopee(raw: Raw) -> dict:
+def _shopee_line(raw: Raw) -> dict:
     paid, listed = money(raw["GiaUuDai"]), money(raw["GiaGoc"])
     gross = money(raw["TongGiaBanSanPham"])
     fees = [or_zero(money(raw[name])) for name in ("PhiCoDinh", "PhiDichVu", "PhiThanhToan")]
     fee = reduce(Column.__add__, fees)
-    status = raw["TrangThaiDonHang"]
     return {
-        "OrderID": raw["MaDonHang"],
         "LineID": text(raw["Id"]),
-        **_ordered_on(parse_date(raw["NgayDatHang"])),
-        "SuccessDate": parse_date(raw["ThoiGianHoanThanhDonHang"]),
+        "SuccessDate": raw.day("ThoiGianHoanThanhDonHang"),
         "SKUCode": raw["SKUSanPham"],
-        "CustomerName": raw["TenNguoiNhan"],
-        "CustomerProvince": raw["TinhThanhPho"],
-        "CustomerDistrict": raw["QuanHuyen"],
-        "CustomerWard": raw["PhuongXa"],
-        "PaymentMethod": raw["PhuongThucThanhToan"],
         "Quantity": whole(raw["SoLuong"]),
         "SalePrice": paid,
         "ListPrice": listed,
@@ -192,27 +247,31 @@ def _shopee(raw: Raw) -> dict:
         "NetRevenue": gross - fee,
         "PlatformFee": fee,
         "ShippingFee": or_zero(money(raw["PhiVanChuyenDuKien"])),
+    }
+
+
+def _tiki_order(raw: Raw) -> dict:
+    status = raw["TrangThai"]
+    return {
+        "OrderID": raw["MaDonHang"],
+        **_ordered_on(raw.day("NgayDat")),
+        "PaymentMethod": raw["PhuongThucThanhToan"],
         "StatusRaw": status,
         "StatusName": status,
-        "IsSuccess": mentions(status, words.SHOPEE_SUCCESS),
+        "IsSuccess": mentions(status, words.TIKI_SUCCESS),
         "IsCancelled": mentions(status, words.VIETNAMESE_CANCELLED),
-        "OrderType": raw["LoaiDonHang"],
     }
 
 
-def _tiki(raw: Raw) -> dict:
+def _tiki_line(raw: Raw) -> dict:
     price = money(raw["DonGia"])
     revenue = money(raw["DoanhThu"])
     gross = price * money(raw["SLBan"])
     quantity = whole(raw["SLBan"])
-    status = raw["TrangThai"]
     return {
-        "OrderID": raw["MaDonHang"],
         "LineID": text(raw["Id"]),
-        **_ordered_on(parse_date(raw["NgayDat"])),
-        "SuccessDate": parse_date(raw["NgayGiaoHangThanhCong"]),
+        "SuccessDate": raw.day("NgayGiaoHangThanhCong"),
         "SKUCode": raw["SSKU"],
-        "PaymentMethod": raw["PhuongThucThanhToan"],
         "Quantity": quantity,
         "SalePrice": price,
         "ListPrice": price,
@@ -221,31 +280,33 @@ def _tiki(raw: Raw) -> dict:
         "NetRevenue": revenue,
         # The sign is kept as stored; measures take the absolute value.
         "PlatformFee": or_zero(money(raw["PhiPhaiTraTiki"])),
-        "StatusRaw": status,
-        "StatusName": status,
-        "IsSuccess": mentions(status, words.TIKI_SUCCESS),
-        "IsCancelled": mentions(status, words.VIETNAMESE_CANCELLED),
     }
 
 
 RULES = {
     rule.name: rule
     for rule in (
-        FeedRule("store", _store, _store_keep),
-        FeedRule("telesales", _telesales, _telesales_keep),
-        FeedRule("lazada", _lazada),
-        FeedRule("shopee", _shopee),
-        FeedRule("tiki", _tiki),
+        FeedRule("store", _store_order, _store_line, keep_line=_neither_free_nor_exchanged),
+        FeedRule("telesales", _telesales_order, _telesales_line, keep_order=_not_deleted),
+        FeedRule("lazada", _lazada_order, _lazada_line),
+        FeedRule("shopee", _shopee_order, _shopee_line),
+        FeedRule("tiki", _tiki_order, _tiki_line),
     )
 }
+FACT = "fact_sales"
+LINE_COLUMNS = (
+    "LineID", "SuccessDate", "SKUCode", "Quantity", "SalePrice", "ListPrice", "DiscountAmount", "GMV", "NetRevenue",
+    "PlatformFee", "ShippingFee",
+)
 
 
 def sales_lines(feed: str, lines: DataFrame, raw: Raw) -> DataFrame:
     """Contract rows of one feed from its raw lines."""
     rule = RULES[feed]
-    if rule.keep is not None:
-        lines = lines.filter(rule.keep(raw))
-    return lines.select(*contract_columns("fact_sales", rule.contract(raw)))
+    for keep in (rule.keep_order, rule.keep_line):
+        if keep is not None:
+            lines = lines.filter(keep(raw))
+    return lines.select(*contract_columns(FACT, rule.order_values(raw) | rule.line_values(raw)))
 
 
 def union_feeds(feeds: Mapping[str, tuple[DataFrame, Raw]]) -> DataFrame:
@@ -254,39 +315,77 @@ def union_feeds(feeds: Mapping[str, tuple[DataFrame, Raw]]) -> DataFrame:
     return reduce(DataFrame.unionByName, branches)
 
 
-def conform_tagged(lines: DataFrame, tag: Column, raws: Mapping[object, tuple[str, Raw]]) -> DataFrame:
-    """All feeds in one pass over lines that carry a feed tag.
+@dataclass(frozen=True)
+class TaggedColumns:
+    """Columns and filters that conform all feeds at once, chosen by a tag.
+
+    Column expressions do not depend on a frame, so they can be built once and
+    used for every query.
+    """
+
+    order_filters: list[Column]
+    order_columns: list[Column]
+    line_filters: list[Column]
+    line_columns: list[Column]
+
 
-    `raws` maps each tag value to the feed and its raw columns. Lines with any
-    other tag are dropped. The last feed is the otherwise-branch, so an
-    expression shared by every feed folds to itself and filters on it reach the
-    scan.
+def tagged_columns(tag: Column, feeds: Sequence[tuple[str, Raw]]) -> TaggedColumns:
+    """`feeds` lists the feeds with their raw columns; the tag is the place in it.
+
+    Orders with another tag are dropped.
     """
-    lines = lines.filter(tag.isin(*raws))
-    for value, (feed, raw) in raws.items():
-        if RULES[feed].keep is not None:
-            lines = lines.filter((tag != value) | RULES[feed].keep(raw))
-    per_tag = {value: RULES[feed].contract(raw) for value, (feed, raw) in raws.items()}
-
-    merged = {}
-    for field in output_schema("fact_sales"):
-        # Typed first: the branches of one column must agree.
-        branches = [
-            (value, as_column(values.get(field.name)).cast(field.dataType)) for value, values in per_tag.items()
+
+    def kept(which: str) -> list[Column]:
+        keeps = [(at, getattr(RULES[feed], which), raw) for at, (feed, raw) in enumerate(feeds)]
+        return [(tag != at) | keep(raw) for at, keep, raw in keeps if keep is not None]
+
+    def chosen(which: str, lines: bool) -> list[Column]:
+        per_tag = [getattr(RULES[feed], which)(raw) for feed, raw in feeds]
+        return [
+            _by_tag(tag, [values.get(f.name) for values in per_tag], f.dataType).alias(f.name)
+            for f in output_schema(FACT)
+            if (f.name in LINE_COLUMNS) == lines
         ]
-        merged[field.name] = _by_tag(tag, branches)
-    return lines.select(*contract_columns("fact_sales", merged))
 
+    return TaggedColumns(
+        [tag.between(0, len(feeds) - 1), *kept("keep_order")],
+        chosen("order_values", lines=False),
+        kept("keep_line"),
+        chosen("line_values", lines=True),
+    )
+
+
+def _by_tag(tag: Column, values: list[object], kind: T.DataType) -> Column:
+    """The value whose place is the tag.
 
-def _by_tag(tag: Column, branches: list[tuple[object, Column]]) -> Column:
-    *tested, (_, last) = branches
-    if not tested:
-        return last
-    (value, first), *rest = tested
-    choice = F.when(tag == value, first)
-    for value, column in rest:
-        choice = choice.when(tag == value, column)
-    return choice.otherwise(last)
+    The expression is kept short, as Java compiles only short methods well:
+    constants alone are looked up in a list, feeds with the same expression
+    share a branch, and the expression most feeds share needs no test.
+    """
+    if not any(isinstance(value, Column) for value in values):
+        return F.get(F.array(*[F.lit(value).cast(kind) for value in values]), tag.cast("int"))
+    columns = [as_column(value).cast(kind) for value in values]
+    tags_of: dict[str, list[int]] = {}
+    for at, column in enumerate(columns):
+        tags_of.setdefault(str(column), []).append(at)
+    *tested, commonest = sorted(tags_of.values(), key=len)
+    choice = F
+    for tags in tested:
+        choice = choice.when(tag.isin(tags) if len(tags) > 1 else tag == tags[0], columns[tags[0]])
+    otherwise = columns[commonest[0]]
+    return choice.otherwise(otherwise) if tested else otherwise
+
+
+def conform_tagged(orders: DataFrame, items: DataFrame, matching: Column, columns: TaggedColumns) -> DataFrame:
+    """Contract rows of all feeds from tagged orders and their lines.
+
+    Both sides grow with the data, so they are joined by sort-merge, never by
+    broadcast; adaptive execution splits an order that holds very many lines.
+    """
+    orders = reduce(DataFrame.filter, columns.order_filters, orders).select("*", *columns.order_columns)
+    lines = reduce(DataFrame.filter, columns.line_filters, orders.join(items.hint("merge"), matching))
+    order_names = [name for name in output_schema(FACT).names if name not in LINE_COLUMNS]
+    return lines.select(*order_names, *columns.line_columns).select(*output_schema(FACT).names)
 
 
 def store_feed(headers: DataFrame, items: DataFrame, statuses: DataFrame) -> tuple[DataFrame, Raw]:
@@ -300,8 +399,7 @@ def store_feed(headers: DataFrame, items: DataFrame, statuses: DataFrame) -> tup
         )
         .join(order_status.alias("s"), F.col("s.StatusID") == F.col("h.Status"), "left")
     )
-    raw = _columns_of("i", items) | _columns_of("h", headers) | {"StatusName": F.col("s.StatusName")}
-    return lines, raw
+    return lines, Raw.of(items, "i") | Raw.of(headers, "h") | {"StatusName": F.col("s.StatusName")}
 
 
 def telesales_feed(headers: DataFrame, items: DataFrame, statuses: DataFrame) -> tuple[DataFrame, Raw]:
@@ -311,14 +409,10 @@ def telesales_feed(headers: DataFrame, items: DataFrame, statuses: DataFrame) ->
         .join(items.alias("i"), F.col("i.OrderID") == F.col("h.ID"))
         .join(statuses.alias("s"), F.col("s.ID") == F.col("h.StatusID"), "left")
     )
-    raw = _columns_of("h", headers) | _columns_of("i", items)
-    return lines, raw | {"ItemID": F.col("i.ID"), "StatusName": F.col("s.Name")}
+    renamed = {"ItemID": F.col("i.ID"), "StatusName": F.col("s.Name")}
+    return lines, Raw.of(headers, "h") | Raw.of(items, "i") | renamed
 
 
 def flat_feed(lines: DataFrame) -> tuple[DataFrame, Raw]:
     """A marketplace feed: one table, one row per line."""
-    return lines, {name: F.col(name) for name in lines.columns}
-
-
-def _columns_of(alias: str, frame: DataFrame) -> dict[str, Column]:
-    return {name: F.col(f"{alias}.{name}") for name in frame.columns}
+    return lines, Raw.of(lines)

@@ -51,14 +51,15 @@ def _on_model(report: Callable[[RetailModel], DataFrame]) -> Query:
     return lambda spark, folder: report(RetailModel.of_driver_tables(spark, folder))
 
 
-def _rfm_by_window(model: RetailModel) -> DataFrame:
-    return rfm.label(rfm.score_by_window(rfm.customer_base(model.fact_sales, model.dim_date)))
+def _rfm_in_buckets(model: RetailModel) -> DataFrame:
+    """Customer segments by the steps that large customer counts take."""
+    return rfm.customer_rfm(model.fact_sales, model.dim_date, buckets=16)
 
 
 def queries() -> dict[str, Query]:
     products = {name: _on_model(lambda model, name=name: getattr(model, name)) for name in words.VIEW_NAMES}
     variants = {
         "fact_sales_union": _on_model(RetailModel.stacked_sales),
-        "customer_rfm_window": _on_model(_rfm_by_window),
+        "customer_rfm_distributed": _on_model(_rfm_in_buckets),
     }
     return products | variants | {report.__name__: _on_model(report) for report in REPORTS}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import vocabulary as words
 from ..operators import dims, rfm, targets
-from ..operators.sales import conform_tagged, flat_feed, store_feed, telesales_feed, union_feeds
+from ..operators.sales import flat_feed, store_feed, telesales_feed, union_feeds
 from ..sources.driver_tables import DriverTables
 
 RawTables = Callable[[str], DataFrame]
@@ -33,7 +33,7 @@ class RetailModel:
     @classmethod
     def of_driver_tables(cls, spark: SparkSession, folder: str) -> RetailModel:
         source = DriverTables(spark, folder)
-        return cls(source.raw, lambda: conform_tagged(*source.tagged_lines()))
+        return cls(source.raw, source.sales)
 
     @cached_property
     def dim_product(self) -> DataFrame:

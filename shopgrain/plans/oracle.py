@@ -376,7 +376,7 @@ def oracle_sql() -> dict[str, str]:
         "fact_sales_union": _with(sales, "SELECT * FROM fact_sales"),
         "fact_target": _with(FACT_TARGET, "SELECT * FROM fact_target"),
         "customer_rfm": _with(RFM, "SELECT * FROM rfm"),
-        "customer_rfm_window": _with(RFM, "SELECT * FROM rfm"),
+        "customer_rfm_distributed": _with(RFM, "SELECT * FROM rfm"),
         "row_count_audit": _with(
             [sales, FACT_TARGET, DIM_PRODUCT, DIM_STORE, DIM_EMPLOYEE, DIM_DATE, DIM_CUSTOMER],
             "\nUNION ALL ".join(

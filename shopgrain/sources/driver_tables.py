@@ -3,7 +3,7 @@
 Order priority decides the feed of an order; its lines then carry the raw
 columns of that feed, derived from the order and line columns. Two shapes:
 
-* `tagged_lines` - one scan and one join for all feeds, with a feed tag;
+* `sales` - one scan and one join for all feeds, with a feed tag;
 * `raw` - each raw table on its own, as the operational systems would hold them.
 
 All derivations are column expressions, so filters and pruning reach the scans.
@@ -11,15 +11,16 @@ All derivations are column expressions, so filters and pruning reach the scans.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import vocabulary as words
 from ..functions.clean import MONEY, date_key
 from ..operators.dims import build_calendar
-from ..operators.sales import Raw
+from ..operators.sales import Raw, TaggedColumns, conform_tagged, tagged_columns
 
 # Which orders belong to which feed.
 PRIORITY_OF_FEED = {
@@ -56,29 +57,35 @@ def _labelled(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
-def _by_state(choices: dict) -> Column:
-    state = F.col("o_orderstatus")
-    chosen = F
-    for key, value in choices.items():
-        chosen = chosen.when(state == key, value)
-    return chosen
+def _looked_up(values: list, position: Column) -> Column:
+    """The value at a position of a fixed list; null when the position is null."""
+    return F.get(F.array(*map(F.lit, values)), position)
 
 
-def _status_text(feed: str) -> Column:
-    above = F.col("o_totalprice") > PRICE_LIMIT
-    return _by_state({state: F.when(above, high).otherwise(low) for state, (low, high) in STATUS_TEXTS[feed].items()})
-
-
-def _order_columns() -> dict[str, Column]:
-    """Values derived from an order alone."""
-    customer = F.col("o_custkey")
+@cache
+def _order_columns() -> list[Column]:
+    """Columns that the raw order columns are taken from, computed once per order."""
+    priority, state, customer = F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_custkey")
+    high = F.col("o_totalprice") > PRICE_LIMIT
     store = F.call_function("div", customer, F.lit(CUSTOMERS_PER_STORE))
     area = F.pmod(customer, F.lit(AREAS))
-    total = _dec(F.col("o_totalprice"))
-    return {
-        "order": F.col("o_orderkey"),
-        "day": F.col("o_orderdate"),
-        "customer": customer,
+    feed = F
+    for at, name in enumerate(words.FEEDS):
+        feed = feed.when(priority == PRIORITY_OF_FEED[name], at)
+
+    # Raw status by feed, state and price: fixed lists with one entry per case.
+    states = "FPO"
+    place = feed * len(states) + F.when(state == "F", 0).when(state == "P", 1).when(state == "O", 2)
+    cases = [(name, at) for name in words.FEEDS for at in states]
+    codes = [STATUS_CODES.get(name, {}).get(at) for name, at in cases]
+    names = [STATUS_NAMES.get(name, {}).get(code) for (name, _), code in zip(cases, codes)]
+    texts = [text for name, at in cases for text in STATUS_TEXTS.get(name, {}).get(at, (None, None))]
+
+    columns = {
+        "feed": feed,
+        "day": F.col("o_orderdate").cast("date"),
+        "order_text": F.col("o_orderkey").cast("string"),
+        "customer_text": customer.cast("string"),
         "customer_name": _labelled("Customer ", customer),
         "store": store.cast("string"),
         "seller": _labelled("E", store),
@@ -87,142 +94,179 @@ def _order_columns() -> dict[str, Column]:
         "city": _labelled("City ", area),
         "district": _labelled("District ", area),
         "ward": _labelled("Ward ", area),
-        "payment": F.when(F.col("o_totalprice") > PRICE_LIMIT, "Bank").otherwise("COD"),
-        "kind": F.when(F.col("o_totalprice") > PRICE_LIMIT, "VIP").otherwise("Retail"),
-        "ship_cost": _dec(total * F.lit("0.01").cast("decimal(3,2)")),
+        "payment": F.when(high, "Bank").otherwise("COD"),
+        "kind": F.when(high, "VIP").otherwise("Retail"),
+        "ship_cost": _dec(_dec(F.col("o_totalprice")) * F.lit("0.01").cast("decimal(3,2)")),
         "deleted": F.when(F.col("o_totalprice") < DELETED_BELOW, 1).otherwise(0),
+        "final": state == "F",
+        "status_code": _looked_up(codes, place),
+        "status_name": _looked_up(names, place),
+        "status_text": _looked_up(texts, place * 2 + high.cast("int")),
     }
+    kept = [F.col(name) for name in ("o_orderkey", "o_custkey")]
+    return [*kept, *[column.alias(name) for name, column in columns.items()]]
 
 
-def _line_columns() -> dict[str, Column]:
-    """Values derived from a line (and its order's state)."""
-    price, quantity = _dec(F.col("l_extendedprice")), F.col("l_quantity").cast("int")
+@cache
+def _line_columns() -> list[Column]:
+    """Columns that the raw line columns are taken from, computed once per line."""
+    quantity = F.col("l_quantity").cast("int")
+    price = _dec(F.col("l_extendedprice"))
     tax = F.col("l_tax").cast("decimal(4,2)")
     paid = _dec(price * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")))
-
-    def share(rate: str) -> Column:
-        return _dec(paid * F.lit(rate).cast("decimal(4,2)"))
-
-    taxed = F.col("l_tax") > 0
-    return {
-        "line": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+    columns = {
+        "line_number": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
         "sku": F.col("l_partkey").cast("string"),
-        "done": F.when(F.col("o_orderstatus") == "F", F.col("l_shipdate")),
+        "shipped": F.col("l_shipdate").cast("date"),
         "quantity": quantity,
         "price": price,
         "paid": paid,
         "total": _dec(paid * quantity),
-        "saved": F.when(F.col("l_discount") > 0, price - paid),
-        "saved_total": F.when(F.col("l_discount") > 0, _dec((price - paid) * quantity)),
-        "listed": F.when(taxed, price).otherwise(F.lit(0).cast(MONEY)),
-        "freight": F.when(taxed, _dec(tax * 100)),
-        "fixed_fee": share("0.05"),
-        "service_fee": F.when(taxed, _dec(paid * tax)),
-        "payment_fee": F.when(F.col("l_discount") > 0, share("0.02")),
-        "negative_fee": F.when(taxed, -share("0.09")),
+        "tax": tax,
+        "discounted": F.col("l_discount") > 0,
+        "taxed": F.col("l_tax") > 0,
         "free": F.when(F.col("l_quantity") < 2, 1).otherwise(0),
         "exchange": F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), 1).otherwise(0),
     }
+    return [F.col("l_orderkey"), *[column.alias(name) for name, column in columns.items()]]
+
+
+def fixed_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few fixed rows as a local relation, which Spark knows the size of."""
+
+    def literal(value: object) -> str:
+        if isinstance(value, str):
+            return "'" + value.replace("'", "\\'") + "'"
+        return "NULL" if value is None else str(value)
+
+    values = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
+    fields = T.StructType.fromDDL(schema)
+    typed = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields)
+    return spark.sql(f"SELECT {typed} FROM VALUES {values} AS fixed({', '.join(fields.names)})")
+
+
+DATE_COLUMNS = frozenset(
+    {
+        "DocDate", "CreateDate", "SuccessDate", "createTime", "deliveredDate", "NgayDatHang",
+        "ThoiGianHoanThanhDonHang", "NgayDat", "NgayGiaoHangThanhCong",
+    }
+)
 
 
+@cache
 def _raw_columns() -> dict[str, dict[str, Column]]:
-    """Raw line columns of every feed, over joined orders and lines."""
-    o, l = _order_columns(), _line_columns()
+    """Raw columns of every feed, over prepared orders and lines."""
+    c = F.col
+    done = F.when(c("final"), c("shipped"))
+    saved = F.when(c("discounted"), c("price") - c("paid"))
+    freight = F.when(c("taxed"), _dec(c("tax") * 100))
+
+    def share(rate: str) -> Column:
+        return _dec(c("paid") * F.lit(rate).cast("decimal(4,2)"))
+
     return {
         "store": {
-            "OrderCode": o["order"].cast("string"),
-            "SiteID": o["store"],
-            "DocDate": o["day"],
-            "SalesNo": o["seller"],
-            "CustID": o["customer"].cast("string"),
-            "CustName": o["customer_name"],
-            "ShipCost": o["ship_cost"],
-            "Status": _by_state(STATUS_CODES["store"]),
+            "OrderCode": c("order_text"),
+            "SiteID": c("store"),
+            "DocDate": c("day"),
+            "SalesNo": c("seller"),
+            "CustID": c("customer_text"),
+            "CustName": c("customer_name"),
+            "ShipCost": c("ship_cost"),
+            "Status": c("status_code"),
             "Source": F.lit("POS"),
-            "OrderType": o["kind"],
-            "SKUCode": l["sku"],
-            "Qty": _dec(l["quantity"]),
-            "UnitPrice": l["paid"],
-            "StandardPrice": l["price"],
-            "DiscItemValue": l["saved_total"],
-            "IsFreeitem": l["free"],
-            "IsExchange": l["exchange"],
+            "OrderType": c("kind"),
+            "SKUCode": c("sku"),
+            "Qty": _dec(c("quantity")),
+            "UnitPrice": c("paid"),
+            "StandardPrice": c("price"),
+            "DiscItemValue": F.when(c("discounted"), _dec((c("price") - c("paid")) * c("quantity"))),
+            "IsFreeitem": c("free"),
+            "IsExchange": c("exchange"),
         },
         "telesales": {
-            "OrderID": o["order"],
-            "CustomerID": o["customer"],
-            "CustomerName": o["customer_name"],
-            "Provinces": o["province"],
-            "CreateDate": o["day"],
-            "IsDelete": o["deleted"],
-            "AssignTo": o["agent"],
-            "PaymentMethod": o["payment"],
-            "ShipPrice": o["ship_cost"],
-            "StatusID": _by_state(STATUS_CODES["telesales"]),
+            "OrderID": c("o_orderkey"),
+            "CustomerID": c("o_custkey"),
+            "CustomerName": c("customer_name"),
+            "Provinces": c("province"),
+            "CreateDate": c("day"),
+            "IsDelete": c("deleted"),
+            "AssignTo": c("agent"),
+            "PaymentMethod": c("payment"),
+            "ShipPrice": c("ship_cost"),
+            "StatusID": c("status_code"),
             "Source": F.lit("Phone"),
-            "CategoryID": o["kind"],
-            "ItemID": l["line"],
-            "SuccessDate": l["done"],
-            "ProductID": l["sku"],
-            "Quantity": l["quantity"],
-            "UnitPrice": l["paid"],
-            "OriginalPrice": l["price"],
-            "Total": l["total"],
+            "CategoryID": c("kind"),
+            "ItemID": c("line_number"),
+            "SuccessDate": done,
+            "ProductID": c("sku"),
+            "Quantity": c("quantity"),
+            "UnitPrice": c("paid"),
+            "OriginalPrice": c("price"),
+            "Total": c("total"),
         },
         "lazada": {
-            "orderNumber": o["order"],
-            "orderItemId": l["line"],
-            "createTime": o["day"],
-            "deliveredDate": l["done"],
-            "sellerSku": l["sku"],
-            "customerName": o["customer_name"],
-            "shippingCity": o["city"],
-            "payMethod": o["payment"],
-            "paidPrice": l["paid"],
-            "unitPrice": l["price"],
-            "sellerDiscountTotal": -l["saved"],
-            "shippingFee": l["freight"],
-            "status": _status_text("lazada"),
-            "orderType": o["kind"],
+            "orderNumber": c("o_orderkey"),
+            "orderItemId": c("line_number"),
+            "createTime": c("day"),
+            "deliveredDate": done,
+            "sellerSku": c("sku"),
+            "customerName": c("customer_name"),
+            "shippingCity": c("city"),
+            "payMethod": c("payment"),
+            "paidPrice": c("paid"),
+            "unitPrice": c("price"),
+            "sellerDiscountTotal": -saved,
+            "shippingFee": freight,
+            "status": c("status_text"),
+            "orderType": c("kind"),
         },
         "shopee": {
-            "MaDonHang": o["order"].cast("string"),
-            "Id": l["line"],
-            "NgayDatHang": o["day"],
-            "ThoiGianHoanThanhDonHang": l["done"],
-            "SKUSanPham": l["sku"],
-            "TenNguoiNhan": o["customer_name"],
-            "TinhThanhPho": o["city"],
-            "QuanHuyen": o["district"],
-            "PhuongXa": o["ward"],
-            "PhuongThucThanhToan": o["payment"],
-            "SoLuong": l["quantity"],
-            "GiaUuDai": l["paid"],
-            "GiaGoc": l["listed"],
-            "TongGiaBanSanPham": l["total"],
-            "PhiCoDinh": l["fixed_fee"],
-            "PhiDichVu": l["service_fee"],
-            "PhiThanhToan": l["payment_fee"],
-            "PhiVanChuyenDuKien": l["freight"],
-            "TrangThaiDonHang": _status_text("shopee"),
-            "LoaiDonHang": o["kind"],
+            "MaDonHang": c("order_text"),
+            "Id": c("line_number"),
+            "NgayDatHang": c("day"),
+            "ThoiGianHoanThanhDonHang": done,
+            "SKUSanPham": c("sku"),
+            "TenNguoiNhan": c("customer_name"),
+            "TinhThanhPho": c("city"),
+            "QuanHuyen": c("district"),
+            "PhuongXa": c("ward"),
+            "PhuongThucThanhToan": c("payment"),
+            "SoLuong": c("quantity"),
+            "GiaUuDai": c("paid"),
+            "GiaGoc": F.when(c("taxed"), c("price")).otherwise(F.lit(0).cast(MONEY)),
+            "TongGiaBanSanPham": c("total"),
+            "PhiCoDinh": share("0.05"),
+            "PhiDichVu": F.when(c("taxed"), _dec(c("paid") * c("tax"))),
+            "PhiThanhToan": F.when(c("discounted"), share("0.02")),
+            "PhiVanChuyenDuKien": freight,
+            "TrangThaiDonHang": c("status_text"),
+            "LoaiDonHang": c("kind"),
         },
         "tiki": {
-            "MaDonHang": o["order"].cast("string"),
-            "Id": l["line"],
-            "NgayDat": o["day"],
-            "NgayGiaoHangThanhCong": l["done"],
-            "SSKU": l["sku"],
-            "PhuongThucThanhToan": o["payment"],
-            "SLBan": l["quantity"],
-            "DonGia": l["price"],
-            "DoanhThu": l["total"],
-            "PhiPhaiTraTiki": l["negative_fee"],
-            "TrangThai": _status_text("tiki"),
+            "MaDonHang": c("order_text"),
+            "Id": c("line_number"),
+            "NgayDat": c("day"),
+            "NgayGiaoHangThanhCong": done,
+            "SSKU": c("sku"),
+            "PhuongThucThanhToan": c("payment"),
+            "SLBan": c("quantity"),
+            "DonGia": c("price"),
+            "DoanhThu": c("total"),
+            "PhiPhaiTraTiki": F.when(c("taxed"), -share("0.09")),
+            "TrangThai": c("status_text"),
         },
     }
 
 
+@cache
+def _tagged_columns() -> TaggedColumns:
+    raws = {feed: Raw(columns, DATE_COLUMNS) for feed, columns in _raw_columns().items()}
+    for feed in STATUS_NAMES:
+        raws[feed] |= {"StatusName": F.col("status_name")}
+    return tagged_columns(F.col("feed"), [(feed, raws[feed]) for feed in words.FEEDS])
+
+
 class DriverTables:
     """Retail sources derived from one folder of the given tables."""
 
@@ -252,42 +296,26 @@ class DriverTables:
 
     # -- all feeds in one pass ---------------------------------------------------
 
-    def tagged_lines(self) -> tuple[DataFrame, Column, dict[str, tuple[str, Raw]]]:
-        """Joined orders and lines, the tag column, and raw columns per tag.
-
-        Status names are looked up per order, before the lines multiply them.
-        """
-        tag = F.col("o_orderpriority")
-        status_names = self._status_names().withColumnsRenamed(
-            {"feed_tag": "n_tag", "code": "n_code", "name": "status_name"}
-        )
-        code = F.when(tag == PRIORITY_OF_FEED["store"], _by_state(STATUS_CODES["store"])).when(
-            tag == PRIORITY_OF_FEED["telesales"], _by_state(STATUS_CODES["telesales"])
+    def sales(self) -> DataFrame:
+        """The unified sales fact from one scan of each table and one join."""
+        return conform_tagged(
+            self._orders_of(*words.FEEDS), self._items(), F.col("o_orderkey") == F.col("l_orderkey"), _tagged_columns()
         )
-        orders = self.table("orders")
-        orders = orders.join(status_names, (F.col("n_tag") == tag) & (F.col("n_code") == code), "left")
-        lines = orders.join(self.table("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-        raws = _raw_columns()
-        for feed in STATUS_NAMES:
-            raws[feed]["StatusName"] = F.col("status_name")
-        return lines, tag, {PRIORITY_OF_FEED[feed]: (feed, raw) for feed, raw in raws.items()}
-
-    def _status_names(self) -> DataFrame:
-        rows = [
-            (PRIORITY_OF_FEED[feed], code, name) for feed, names in STATUS_NAMES.items() for code, name in names.items()
-        ]
-        return self.spark.createDataFrame(rows, "feed_tag string, code int, name string")
+
+    def _orders_of(self, *feeds: str) -> DataFrame:
+        wanted = F.col("o_orderpriority").isin([PRIORITY_OF_FEED[feed] for feed in feeds])
+        return self.table("orders").filter(wanted).select(*_order_columns())
+
+    def _items(self) -> DataFrame:
+        return self.table("lineitem").select(*_line_columns())
 
     # -- raw tables, one by one ---------------------------------------------------
 
     def raw(self, name: str) -> DataFrame:
         return getattr(self, "_" + name.replace(".", "_"))()
 
-    def _orders_of(self, feed: str) -> DataFrame:
-        return self.table("orders").filter(F.col("o_orderpriority") == PRIORITY_OF_FEED[feed])
-
     def _lines_of(self, feed: str) -> DataFrame:
-        return self._orders_of(feed).join(self.table("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+        return self._orders_of(feed).join(self._items(), F.col("o_orderkey") == F.col("l_orderkey"))
 
     @staticmethod
     def _pick(feed: str, *names: str) -> list[Column]:
@@ -313,7 +341,7 @@ class DriverTables:
     def _rms_E00Status(self) -> DataFrame:
         rows = [(code, words.ORDER_FUNCTION_TYPE, name) for code, name in STATUS_NAMES["store"].items()]
         rows.append((4, "P", "Paid"))
-        return self.spark.createDataFrame(rows, "StatusID int, FunctType string, StatusName string")
+        return fixed_rows(self.spark, rows, "StatusID int, FunctType string, StatusName string")
 
     def _gmc_E01OrderHeader(self) -> DataFrame:
         """Telesales orders with the attributes of their customer."""
@@ -358,7 +386,7 @@ class DriverTables:
         return self._lines_of("telesales").select(*picked).withColumnRenamed("ItemID", "ID")
 
     def _gmc_E00OrderStatus(self) -> DataFrame:
-        return self.spark.createDataFrame(list(STATUS_NAMES["telesales"].items()), "ID int, Name string")
+        return fixed_rows(self.spark, list(STATUS_NAMES["telesales"].items()), "ID int, Name string")
 
     def _ecom_E01LazadaOrders(self) -> DataFrame:
         return self._lines_of("lazada").select(*self._pick("lazada"))
