@@ -10,7 +10,7 @@ any other stretch of the order.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,14 +35,14 @@ class Order:
         self.columns = [*values, ident]
         self.types = [frame.schema[name].dataType for name in self.columns]
 
-    @property
+    @cached_property
     def position(self) -> Column:
         """What rows are compared by."""
         return F.struct(*[F.col(name).alias(f"p{at}") for at, name in enumerate(self.columns)])
 
     def literal(self, place: Place) -> Column:
         typed = [F.lit(value).cast(kind) for value, kind in zip(place, self.types)]
-        return F.struct(*[value.alias(f"p{at}") for at, value in enumerate(typed)])
+        return F.struct(*typed)
 
     def as_text(self, position: Column) -> Column:
         return F.struct(*[position[f"p{at}"].cast("string").alias(f"p{at}") for at in range(len(self.columns))])

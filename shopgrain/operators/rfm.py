@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,11 +84,17 @@ def segment(r: Column, f: Column, m: Column) -> Column:
 
 
 def label(scored: DataFrame) -> DataFrame:
-    r, f, m = (F.col(f"{s}_Score") for s in SCORES)
-    values = {name: F.col(name) for name in scored.columns}
-    values["RFM_Score"] = F.concat(r.cast("string"), f.cast("string"), m.cast("string"))
-    values["RFM_Segment"] = segment(r, f, m)
-    return scored.select(*contract_columns("customer_rfm", values))
+    return scored.select(*_labelled_columns())
+
+
+@cache
+def _labelled_columns() -> list[Column]:
+    """Contract columns over scored customers, built once for all queries."""
+    scores = {f"{s}_Score": F.col(f"{s}_Score") for s in SCORES}
+    values = {name: F.col(name) for name in ("CustomerID", *SCORES.values())} | scores
+    values["RFM_Score"] = F.concat(*[s.cast("string") for s in scores.values()])
+    values["RFM_Segment"] = segment(*scores.values())
+    return contract_columns("customer_rfm", values)
 
 
 def customer_rfm(sales: DataFrame, dim_date: DataFrame, buckets: int | None = None) -> DataFrame:

@@ -376,14 +376,23 @@ def _by_tag(tag: Column, values: list[object], kind: T.DataType) -> Column:
     return choice.otherwise(otherwise) if tested else otherwise
 
 
-def conform_tagged(orders: DataFrame, items: DataFrame, matching: Column, columns: TaggedColumns) -> DataFrame:
+def conform_tagged(
+    orders: DataFrame,
+    items: DataFrame,
+    matching: Column,
+    columns: TaggedColumns,
+    line_basis: Sequence[Column] = (),
+) -> DataFrame:
     """Contract rows of all feeds from tagged orders and their lines.
 
+    `line_basis` are columns that the raw line columns build on.
+
     Both sides grow with the data, so they are joined by sort-merge, never by
     broadcast; adaptive execution splits an order that holds very many lines.
     """
     orders = reduce(DataFrame.filter, columns.order_filters, orders).select("*", *columns.order_columns)
-    lines = reduce(DataFrame.filter, columns.line_filters, orders.join(items.hint("merge"), matching))
+    lines = orders.join(items.hint("merge"), matching).select("*", *line_basis)
+    lines = reduce(DataFrame.filter, columns.line_filters, lines)
     order_names = [name for name in output_schema(FACT).names if name not in LINE_COLUMNS]
     return lines.select(*order_names, *columns.line_columns).select(*output_schema(FACT).names)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -54,31 +55,46 @@ def _bytes_of(field: T.StructField) -> Column:
     return F.lit(16)
 
 
-def dimension_join(
-    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, columns: Mapping[str, str], row_id: list[str]
-) -> DataFrame:
-    """Left join that keeps every fact row and repeats none.
+@dataclass(frozen=True)
+class PreparedDimension:
+    """The columns of a dimension that a join takes, settled, with their size."""
+
+    rows: DataFrame
+    size: DimensionSize
+    key: str
+    columns: Mapping[str, str]
+
+
+def prepare(dim: DataFrame, key: str, columns: Mapping[str, str]) -> PreparedDimension:
+    """Settle and measure the columns used; a repeated key is refused.
 
-    `columns` maps dimension columns to their names in the result; facts without
-    a partner get the unknown member in text columns. The columns used are settled
-    and measured first: a repeated key is refused, a small one is broadcast. A larger one is
-    joined by shuffle, where adaptive execution splits hot keys; absent keys are
-    spread over buckets by `row_id`, as they would all meet in one task.
+    `columns` maps dimension columns to their names in the result.
     """
-    wanted = settle(dim.select(F.col(dim_key).alias("_dim_key"), *[F.col(c).alias(f"_d_{n}") for c, n in columns.items()]))
+    wanted = settle(dim.select(F.col(key).alias("_dim_key"), *[F.col(c).alias(f"_d_{n}") for c, n in columns.items()]))
     size = measure(wanted, "_dim_key")
     if size.most_per_key > 1:
-        raise DuplicateKeyError(f"{dim_key} is not unique in its dimension; up to {size.most_per_key} rows share it")
-    if size.broadcastable:
-        joined = fact.join(F.broadcast(wanted), fact[fact_key] == wanted["_dim_key"], "left")
+        raise DuplicateKeyError(f"{key} is not unique in its dimension; up to {size.most_per_key} rows share it")
+    return PreparedDimension(wanted, size, key, columns)
+
+
+def dimension_join(fact: DataFrame, dim: PreparedDimension, row_id: list[str]) -> DataFrame:
+    """Left join that keeps every fact row and repeats none.
+
+    Facts without a partner get the unknown member in text columns. A small
+    dimension is broadcast. A larger one is joined by shuffle, where adaptive
+    execution splits hot keys; absent keys are spread over buckets by `row_id`,
+    as they would all meet in one task.
+    """
+    if dim.size.broadcastable:
+        joined = fact.join(F.broadcast(dim.rows), fact[dim.key] == dim.rows["_dim_key"], "left")
     else:
-        joined = _spread_left_join(fact, wanted, fact_key, row_id)
-    named = [
-        F.coalesce(F.col(f"_d_{n}"), F.lit(words.UNKNOWN_MEMBER)).alias(n)
-        if isinstance(dim.schema[c].dataType, T.StringType)
-        else F.col(f"_d_{n}").alias(n)
-        for c, n in columns.items()
-    ]
+        joined = _spread_left_join(fact, dim.rows, dim.key, row_id)
+    named = []
+    for name in dim.columns.values():
+        found = F.col(f"_d_{name}")
+        if isinstance(dim.rows.schema[f"_d_{name}"].dataType, T.StringType):
+            found = F.coalesce(found, F.lit(words.UNKNOWN_MEMBER))
+        named.append(found.alias(name))
     return joined.select(*fact.columns, *named)
 
 
@@ -103,8 +119,11 @@ def star_join(
     row_id: list[str],
 ) -> DataFrame:
     """Fact rows with attributes of their dimensions, every row kept once."""
-    for name, (key, attributes) in relationships.items():
-        fact = dimension_join(fact, dims[name], key, key, attributes, row_id)
+    # Preparing is a few short jobs per dimension; they run side by side.
+    with ThreadPoolExecutor(len(relationships)) as pool:
+        prepared = list(pool.map(lambda item: prepare(dims[item[0]], *item[1]), relationships.items()))
+    for dim in prepared:
+        fact = dimension_join(fact, dim, row_id)
     return fact
 
 

@@ -9,12 +9,12 @@ from ..functions.measures import percent, revenue
 
 
 def daily_revenue(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Revenue of every calendar day; zero on days without sales.
+    """Completed revenue of every calendar day; zero on days without sales.
 
-    Sales are summed per day first, so what is joined and windowed afterwards
+    Only completed lines are read, and they are summed per day first, so what is joined and windowed afterwards
     has one row per day.
     """
-    per_day = sales.groupBy("OrderDate").agg(revenue().alias("Revenue"))
+    per_day = sales.filter("IsSuccess").groupBy("OrderDate").agg(revenue().alias("Revenue"))
     days = dim_date.select("FullDate", "YearMonth", "Year")
     joined = days.join(per_day, days["FullDate"] == per_day["OrderDate"], "left")
     zero = F.lit(0).cast(per_day.schema["Revenue"].dataType)

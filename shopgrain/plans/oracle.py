@@ -341,7 +341,7 @@ _SKU_LINES = "(SELECT * FROM fact_sales WHERE IsSuccess) f LEFT JOIN dim_product
 def _store_share(attribute: str) -> str:
     return _shared(
         f"SELECT coalesce({attribute}, '(unknown)') AS {attribute}, {_REVENUE} AS Revenue "
-        f"FROM fact_sales f LEFT JOIN dim_store s ON s.StoreID = f.StoreID GROUP BY 1"
+        f"FROM fact_sales f LEFT JOIN dim_store s ON s.StoreID = f.StoreID WHERE IsSuccess GROUP BY 1"
     )
 
 
@@ -407,7 +407,10 @@ FROM fact_sales GROUP BY Channel, ChannelGroup ORDER BY Revenue_Success DESC""",
         ),
         "channel_share": _with(
             sales,
-            _shared(f"SELECT Channel, ChannelGroup, {_REVENUE} AS Revenue FROM fact_sales GROUP BY Channel, ChannelGroup"),
+            _shared(
+                f"SELECT Channel, ChannelGroup, {_REVENUE} AS Revenue FROM fact_sales WHERE IsSuccess "
+                "GROUP BY Channel, ChannelGroup"
+            ),
         ),
         "platform_fee_rate": _with(
             sales,

@@ -90,7 +90,8 @@ def total_revenue(model: RetailModel) -> DataFrame:
 
 
 def channel_share(model: RetailModel) -> DataFrame:
-    revenue = model.fact_sales.groupBy("Channel", "ChannelGroup").agg(m.revenue().alias("Revenue"))
+    """Completed revenue per channel with completed sales, and its share."""
+    revenue = _completed(model.fact_sales).groupBy("Channel", "ChannelGroup").agg(m.revenue().alias("Revenue"))
     return revenue.withColumn("Share_Pct", _share())
 
 
@@ -223,8 +224,8 @@ def gross_margin(model: RetailModel) -> DataFrame:
 
 
 def _store_share(model: RetailModel, attribute: str) -> DataFrame:
-    """Revenue by a store attribute; sales outside stores are the unknown member."""
-    per_store = model.fact_sales.groupBy("StoreID").agg(m.revenue().alias("Revenue"))
+    """Completed revenue by a store attribute; sales outside stores are the unknown member."""
+    per_store = _completed(model.fact_sales).groupBy("StoreID").agg(m.revenue().alias("Revenue"))
     named = F.coalesce(attribute, F.lit(words.UNKNOWN_MEMBER)).alias(attribute)
     shares = (
         per_store.join(model.dim_store.select("StoreID", attribute), "StoreID", "left")

@@ -109,7 +109,10 @@ def _order_columns() -> list[Column]:
 
 @cache
 def _line_columns() -> list[Column]:
-    """Columns that the raw line columns are taken from, computed once per line."""
+    """Columns that the raw line columns are taken from, computed once per line.
+
+    They are added after the join, for the lines that are left by then.
+    """
     quantity = F.col("l_quantity").cast("int")
     price = _dec(F.col("l_extendedprice"))
     tax = F.col("l_tax").cast("decimal(4,2)")
@@ -128,7 +131,7 @@ def _line_columns() -> list[Column]:
         "free": F.when(F.col("l_quantity") < 2, 1).otherwise(0),
         "exchange": F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), 1).otherwise(0),
     }
-    return [F.col("l_orderkey"), *[column.alias(name) for name, column in columns.items()]]
+    return [column.alias(name) for name, column in columns.items()]
 
 
 def fixed_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -267,6 +270,16 @@ def _tagged_columns() -> TaggedColumns:
     return tagged_columns(F.col("feed"), [(feed, raws[feed]) for feed in words.FEEDS])
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
+def _schema_of(spark: SparkSession, path: str) -> T.StructType:
+    """The schema of a file, looked up once; each look is a job of its own."""
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return _schemas[path]
+
+
 class DriverTables:
     """Retail sources derived from one folder of the given tables."""
 
@@ -274,7 +287,8 @@ class DriverTables:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return self.spark.read.schema(_schema_of(self.spark, path)).parquet(path)
 
     @cached_property
     def day_range(self) -> tuple:
@@ -299,23 +313,26 @@ class DriverTables:
     def sales(self) -> DataFrame:
         """The unified sales fact from one scan of each table and one join."""
         return conform_tagged(
-            self._orders_of(*words.FEEDS), self._items(), F.col("o_orderkey") == F.col("l_orderkey"), _tagged_columns()
+            self._orders_of(*words.FEEDS),
+            self.table("lineitem"),
+            F.col("o_orderkey") == F.col("l_orderkey"),
+            _tagged_columns(),
+            _line_columns(),
         )
 
     def _orders_of(self, *feeds: str) -> DataFrame:
         wanted = F.col("o_orderpriority").isin([PRIORITY_OF_FEED[feed] for feed in feeds])
         return self.table("orders").filter(wanted).select(*_order_columns())
 
-    def _items(self) -> DataFrame:
-        return self.table("lineitem").select(*_line_columns())
-
     # -- raw tables, one by one ---------------------------------------------------
 
     def raw(self, name: str) -> DataFrame:
         return getattr(self, "_" + name.replace(".", "_"))()
 
     def _lines_of(self, feed: str) -> DataFrame:
-        return self._orders_of(feed).join(self._items(), F.col("o_orderkey") == F.col("l_orderkey"))
+        items = self.table("lineitem").hint("merge")
+        lines = self._orders_of(feed).join(items, F.col("o_orderkey") == F.col("l_orderkey"))
+        return lines.select("*", *_line_columns())
 
     @staticmethod
     def _pick(feed: str, *names: str) -> list[Column]:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopgrain.operators import star
-from shopgrain.operators.star import DuplicateKeyError, dimension_join
+from shopgrain.operators.star import DuplicateKeyError, dimension_join, prepare
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +24,7 @@ def dim(spark):
 
 
 def joined(facts, dim):
-    return dimension_join(facts, dim, "StoreID", "StoreID", {"Region": "Region", "Size": "Size"}, ["OrderID"])
+    return dimension_join(facts, prepare(dim, "StoreID", {"Region": "Region", "Size": "Size"}), ["OrderID"])
 
 
 @pytest.mark.parametrize("rows_allowed", [star.BROADCAST_ROWS, 0])
