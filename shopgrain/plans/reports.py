@@ -318,21 +318,24 @@ def target_fanout_demo(model: RetailModel) -> DataFrame:
     matches n lines contributes n times itself, or once if there are none.
     """
     month = key_month(F.col("DateKey")).alias("YearMonth")
-    keys = ["YearMonth", "Channel"]
     per_store = model.fact_sales.groupBy(month, "Channel", "StoreID").agg(
         m.lines().alias("lines"), m.revenue().alias("revenue")
     )
-    per_channel = per_store.groupBy(*keys).agg(
-        F.sum("lines").alias("all_lines"), F.sum("revenue").alias("all_revenue")
+    # The sums count for their store, and for targets that name no store.
+    everywhere = F.lit(None).cast("string")
+    scopes = F.when(F.col("StoreID").isNull(), F.array(everywhere)).otherwise(F.array(everywhere, "StoreID"))
+    per_scope = (
+        per_store.select("YearMonth", "Channel", "lines", "revenue", F.explode(scopes).alias("Scope"))
+        .groupBy("YearMonth", "Channel", "Scope")
+        .agg(F.sum("lines").alias("lines"), F.sum("revenue").alias("revenue"))
     )
-    targets = model.fact_target.select(month, "Channel", "ChannelGroup", "StoreID", "TargetRevenue")
-    matched = targets.join(per_store, [*keys, "StoreID"], "left").join(per_channel, keys, "left")
-    anywhere = F.col("StoreID").isNull()
-    lines = F.coalesce(F.when(anywhere, F.col("all_lines")).otherwise(F.col("lines")), F.lit(0))
-    revenue = F.when(anywhere, F.col("all_revenue")).otherwise(F.col("revenue"))
-    return matched.groupBy("YearMonth", "Channel", "ChannelGroup").agg(
-        F.sum(F.col("TargetRevenue") * F.greatest(lines, F.lit(1))).cast(AMOUNT).alias("Target"),
-        _amount(F.sum(revenue)).alias("Actual"),
+    targets = model.fact_target.select(month, "Channel", "ChannelGroup", "StoreID", "TargetRevenue").alias("t")
+    meets = [F.col(f"t.{key}") == F.col(f"s.{key}") for key in ("YearMonth", "Channel")]
+    matched = targets.join(per_scope.alias("s"), [*meets, F.col("t.StoreID").eqNullSafe(F.col("s.Scope"))], "left")
+    times = F.coalesce("lines", F.lit(1))
+    return matched.groupBy("t.YearMonth", "t.Channel", "ChannelGroup").agg(
+        F.sum(F.col("TargetRevenue") * times).cast(AMOUNT).alias("Target"),
+        _amount(F.sum("revenue")).alias("Actual"),
     )
 
 

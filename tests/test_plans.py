@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from shopgrain.operators import rfm
 from shopgrain.plans import reports
+from shopgrain.plans.model import RetailModel
 from shopgrain.sources.tables import read_sales, write_sales
 
 
@@ -21,7 +22,10 @@ def scans(plan: str, table: str) -> int:
     return len(re.findall(rf"FileScan parquet.*/{table}\.parquet", plan))
 
 
-@pytest.mark.parametrize("report", [reports.channel_breakdown, reports.order_quality, reports.revenue_vs_target])
+@pytest.mark.parametrize("report", [
+    reports.channel_breakdown, reports.order_quality, reports.revenue_vs_target, reports.target_fanout_demo,
+    reports.aov_vs_target, reports.gross_margin, reports.region_share,
+])
 def test_lines_are_scanned_once(model, report):
     plan = plan_of(report(model))
     assert scans(plan, "lineitem") == 1 and scans(plan, "orders") == 1
@@ -72,3 +76,34 @@ def test_written_sales_prune_months(spark, model, tmp_path):
     one_month = stored.filter("YearMonth = 199701")
     assert re.search(r"PartitionFilters: \[.*YearMonth#\d+ = 199701", plan_of(one_month))
     assert one_month.count() == model.fact_sales.filter("DateKey DIV 100 = 199701").count() > 0
+
+
+def test_an_order_with_a_third_of_all_lines_is_split(spark, folder, tmp_path):
+    """A hot order is split among tasks, and its lines all count."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    hot = orders.filter("o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'F'").agg(F.min("o_orderkey")).first()[0]
+    copies = F.when(F.col("l_linenumber") <= 2, hot).otherwise(F.col("l_orderkey")).alias("l_orderkey")
+    many = lines.crossJoin(spark.range(20)).select(copies, *lines.columns[1:])
+    many.repartition(16).write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        report = reports.channel_breakdown(RetailModel.of_driver_tables(spark, str(tmp_path)))
+        found = {r["Channel"]: r for r in report.collect()}
+        assert "SortMergeJoin(skew=true)" in plan_of(report)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    expected = many.join(orders, F.col("o_orderkey") == F.col("l_orderkey")).filter("o_orderpriority = '4-NOT SPECIFIED'")
+    row = expected.agg(F.countDistinct("o_orderkey").alias("o"), F.sum("l_quantity").cast("bigint").alias("u")).first()
+    assert (found["Shopee"]["Orders"], found["Shopee"]["Units"]) == (row["o"], row["u"])

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopgrain.functions import vocabulary as words
+from shopgrain.operators.star import duplicate_keys
 from shopgrain.plans import catalog, reports
 from shopgrain.plans.model import RetailModel
 
@@ -29,6 +30,20 @@ def test_one_pass_equals_stacked_feeds(model):
     assert one_pass.exceptAll(stacked).isEmpty() and stacked.exceptAll(one_pass).isEmpty()
 
 
+@pytest.mark.parametrize(
+    ("dim", "key"),
+    [
+        ("dim_product", "SKUCode"),
+        ("dim_store", "StoreID"),
+        ("dim_employee", "EmpID"),
+        ("dim_date", "DateKey"),
+        ("dim_customer", "CustomerID"),
+    ],
+)
+def test_dimensions_keep_their_key_unique(model, dim, key):
+    assert duplicate_keys(getattr(model, dim), key).isEmpty()
+
+
 def test_shares_add_up_to_all_revenue(model):
     revenue = reports.total_revenue(model).first()["Revenue"]
     for report in (reports.channel_share, reports.region_share, reports.ownership_share):
