@@ -129,7 +129,6 @@ def _line_columns() -> list[Column]:
         "discounted": F.col("l_discount") > 0,
         "taxed": F.col("l_tax") > 0,
         "free": F.when(F.col("l_quantity") < 2, 1).otherwise(0),
-        "exchange": F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), 1).otherwise(0),
     }
     return [column.alias(name) for name, column in columns.items()]
 
@@ -314,12 +313,20 @@ class DriverTables:
         """The unified sales fact from one scan of each table and one join."""
         return conform_tagged(
             self._orders_of(*words.FEEDS),
-            self.table("lineitem"),
+            self._items(),
             F.col("o_orderkey") == F.col("l_orderkey"),
             _tagged_columns(),
             _line_columns(),
         )
 
+    def _items(self) -> DataFrame:
+        """Lines as they go into the join: two text flags become one number."""
+        exchange = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+        return self.table("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_shipdate", F.when(exchange, 1).otherwise(0).alias("exchange"),
+        )
+
     def _orders_of(self, *feeds: str) -> DataFrame:
         wanted = F.col("o_orderpriority").isin([PRIORITY_OF_FEED[feed] for feed in feeds])
         return self.table("orders").filter(wanted).select(*_order_columns())
@@ -330,8 +337,7 @@ class DriverTables:
         return getattr(self, "_" + name.replace(".", "_"))()
 
     def _lines_of(self, feed: str) -> DataFrame:
-        items = self.table("lineitem").hint("merge")
-        lines = self._orders_of(feed).join(items, F.col("o_orderkey") == F.col("l_orderkey"))
+        lines = self._orders_of(feed).join(self._items().hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
         return lines.select("*", *_line_columns())
 
     @staticmethod
