@@ -207,7 +207,8 @@ def dim_customer(headers: DataFrame) -> DataFrame:
     """One row per telesales customer, from the orders that were not deleted.
 
     Each attribute is the largest value seen, which may come from different
-    orders. Only the columns used are kept before the shuffle.
+    orders. Distinct orders are counted on their own: counted beside the
+    attributes, they would have every order shuffled with all its text.
     """
     c = F.col
     created = parse_date(c("CreateDate"))
@@ -226,15 +227,13 @@ def dim_customer(headers: DataFrame) -> DataFrame:
         "WaistSize_cm": decimal(c("CustomerWaistSize"), 5, 1),
         "LastOrderDate": created,
     }
-    customers = (
-        headers.filter(c("CustomerID").isNotNull() & (c("IsDelete") == 0))
-        .groupBy(text(c("CustomerID")).alias("CustomerID"))
-        .agg(
-            *[F.max(value).alias(name) for name, value in seen.items()],
-            F.min(created).alias("FirstOrderDate"),
-            F.countDistinct(c("ID")).alias("TotalOrders"),
-        )
+    kept = headers.filter(c("CustomerID").isNotNull() & (c("IsDelete") == 0))
+    customer = text(c("CustomerID")).alias("CustomerID")
+    attributes = kept.groupBy(customer).agg(
+        *[F.max(value).alias(name) for name, value in seen.items()], F.min(created).alias("FirstOrderDate")
     )
+    orders = kept.select(customer, "ID").distinct().groupBy("CustomerID").agg(F.count("ID").alias("TotalOrders"))
+    customers = attributes.join(orders, "CustomerID")
     values = {name: c(name) for name in customers.columns} | {"New_Gender": gender_label(c("Gender"))}
     return customers.select(*contract_columns("dim_customer", values))
 

@@ -25,18 +25,6 @@ lines AS (
   FROM orders JOIN lineitem ON o_orderkey = l_orderkey
 )"""
 
-_LINE_TYPES = {
-    "DiscountAmount": "DECIMAL(38,4)",
-    "GMV": "DECIMAL(38,4)",
-    "NetRevenue": "DECIMAL(38,4)",
-    "PlatformFee": "DECIMAL(20,2)",
-    "ShippingFee": "DECIMAL(18,2)",
-    "SalePrice": "DECIMAL(18,2)",
-    "ListPrice": "DECIMAL(18,2)",
-    "Quantity": "INTEGER",
-    "DateKey": "INTEGER",
-}
-
 _ORDER_PART = """
     CAST(o_orderkey AS VARCHAR) AS OrderID, {line} AS LineID, '{channel}' AS Channel, '{group}' AS ChannelGroup,
     {platform} AS Platform, CAST(year(day) * 10000 + month(day) * 100 + day(day) AS INTEGER) AS DateKey,

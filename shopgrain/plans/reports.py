@@ -374,7 +374,7 @@ def aov_vs_target(model: RetailModel) -> DataFrame:
         "TargetAOV",
         "TargetOrders",
         "TargetItems",
-        m.percent(c("Revenue") / c("Orders"), c("TargetAOV")).alias("AOV_Pct"),
+        m.percent(c("Revenue").cast("double") / c("Orders"), c("TargetAOV")).alias("AOV_Pct"),
         m.percent(c("Orders"), c("TargetOrders")).alias("Orders_Pct"),
         m.percent(c("Items"), c("TargetItems")).alias("Items_Pct"),
     )
