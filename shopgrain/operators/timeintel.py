@@ -11,8 +11,9 @@ from ..functions.measures import percent, revenue
 def daily_revenue(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Completed revenue of every calendar day; zero on days without sales.
 
-    Only completed lines are read, and they are summed per day first, so what is joined and windowed afterwards
-    has one row per day.
+    Only completed lines are read, and they are summed per day first, so what is
+    joined and windowed afterwards has one row per day. Sales on days outside the
+    calendar do not show.
     """
     per_day = sales.filter("IsSuccess").groupBy("OrderDate").agg(revenue().alias("Revenue"))
     days = dim_date.select("FullDate", "YearMonth", "Year")

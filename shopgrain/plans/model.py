@@ -84,6 +84,10 @@ class RetailModel:
         return rfm.customer_rfm(self.fact_sales, self.dim_date)
 
     def publish(self, *products: str) -> None:
-        """Register products (all by default) as temporary views for Spark SQL."""
+        """Register products (all by default) as temporary views for Spark SQL.
+
+        Views are plans, computed when queried; only the customer segments settle
+        their base table on the way.
+        """
         for product in products or words.VIEW_NAMES:
             getattr(self, product).createOrReplaceTempView(words.VIEW_NAMES[product])
