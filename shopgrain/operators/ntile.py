@@ -10,7 +10,8 @@ counting:
    each bucket on its own;
 4. a row's tile is one plus the number of tile ends before it.
 
-Where the sample holds every row, it gives the ends of the tiles itself. The sample only decides how even the buckets are; the result is exact.
+Where the sample holds every row, it gives the ends of the tiles itself. The
+sample only decides how even the buckets are; the result is exact.
 """
 
 from __future__ import annotations

@@ -53,6 +53,10 @@ def _dec(value: Column) -> Column:
     return value.cast(MONEY)
 
 
+def _share(amount: Column, rate: str) -> Column:
+    return _dec(amount * F.lit(rate).cast("decimal(4,2)"))
+
+
 def _labelled(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
@@ -111,8 +115,12 @@ def _order_columns() -> list[Column]:
 def _line_columns() -> list[Column]:
     """Columns that the raw line columns are taken from, computed once per line.
 
-    They are added after the join, for the lines that are left by then.
+    They are added after the join, for the lines that are left by then. Amounts
+    of one feed are computed for its lines only.
     """
+    of_feed = {name: F.col("feed") == at for at, name in enumerate(words.FEEDS)}
+    store, lazada, shopee, tiki = (of_feed[name] for name in ("store", "lazada", "shopee", "tiki"))
+    discounted, taxed = F.col("l_discount") > 0, F.col("l_tax") > 0
     quantity = F.col("l_quantity").cast("int")
     price = _dec(F.col("l_extendedprice"))
     tax = F.col("l_tax").cast("decimal(4,2)")
@@ -120,14 +128,20 @@ def _line_columns() -> list[Column]:
     columns = {
         "line_number": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
         "sku": F.col("l_partkey").cast("string"),
-        "shipped": F.col("l_shipdate").cast("date"),
+        "done": F.when(F.col("final"), F.col("l_shipdate").cast("date")),
         "quantity": quantity,
         "price": price,
         "paid": paid,
+        "quantity_dec": _dec(quantity),
         "total": _dec(paid * quantity),
-        "tax": tax,
-        "discounted": F.col("l_discount") > 0,
-        "taxed": F.col("l_tax") > 0,
+        "store_discount": F.when(store & discounted, _dec((price - paid) * quantity)),
+        "lazada_discount": F.when(lazada & discounted, _dec(paid - price)),
+        "shopee_listed": F.when(shopee, F.when(taxed, price).otherwise(F.lit(0).cast(MONEY))),
+        "freight": F.when(taxed, _dec(tax * 100)),
+        "fixed_fee": F.when(shopee, _share(paid, "0.05")),
+        "service_fee": F.when(shopee & taxed, _dec(paid * tax)),
+        "payment_fee": F.when(shopee & discounted, _share(paid, "0.02")),
+        "negative_fee": F.when(tiki & taxed, -_share(paid, "0.09")),
         "free": F.when(F.col("l_quantity") < 2, 1).otherwise(0),
     }
     return [column.alias(name) for name, column in columns.items()]
@@ -159,12 +173,6 @@ DATE_COLUMNS = frozenset(
 def _raw_columns() -> dict[str, dict[str, Column]]:
     """Raw columns of every feed, over prepared orders and lines."""
     c = F.col
-    done = F.when(c("final"), c("shipped"))
-    saved = F.when(c("discounted"), c("price") - c("paid"))
-    freight = F.when(c("taxed"), _dec(c("tax") * 100))
-
-    def share(rate: str) -> Column:
-        return _dec(c("paid") * F.lit(rate).cast("decimal(4,2)"))
 
     return {
         "store": {
@@ -179,10 +187,10 @@ def _raw_columns() -> dict[str, dict[str, Column]]:
             "Source": F.lit("POS"),
             "OrderType": c("kind"),
             "SKUCode": c("sku"),
-            "Qty": _dec(c("quantity")),
+            "Qty": c("quantity_dec"),
             "UnitPrice": c("paid"),
             "StandardPrice": c("price"),
-            "DiscItemValue": F.when(c("discounted"), _dec((c("price") - c("paid")) * c("quantity"))),
+            "DiscItemValue": c("store_discount"),
             "IsFreeitem": c("free"),
             "IsExchange": c("exchange"),
         },
@@ -200,9 +208,9 @@ def _raw_columns() -> dict[str, dict[str, Column]]:
             "Source": F.lit("Phone"),
             "CategoryID": c("kind"),
             "ItemID": c("line_number"),
-            "SuccessDate": done,
+            "SuccessDate": c("done"),
             "ProductID": c("sku"),
-            "Quantity": c("quantity"),
+            "Quantity": c("quantity_dec"),
             "UnitPrice": c("paid"),
             "OriginalPrice": c("price"),
             "Total": c("total"),
@@ -211,15 +219,15 @@ def _raw_columns() -> dict[str, dict[str, Column]]:
             "orderNumber": c("o_orderkey"),
             "orderItemId": c("line_number"),
             "createTime": c("day"),
-            "deliveredDate": done,
+            "deliveredDate": c("done"),
             "sellerSku": c("sku"),
             "customerName": c("customer_name"),
             "shippingCity": c("city"),
             "payMethod": c("payment"),
             "paidPrice": c("paid"),
             "unitPrice": c("price"),
-            "sellerDiscountTotal": -saved,
-            "shippingFee": freight,
+            "sellerDiscountTotal": c("lazada_discount"),
+            "shippingFee": c("freight"),
             "status": c("status_text"),
             "orderType": c("kind"),
         },
@@ -227,21 +235,21 @@ def _raw_columns() -> dict[str, dict[str, Column]]:
             "MaDonHang": c("order_text"),
             "Id": c("line_number"),
             "NgayDatHang": c("day"),
-            "ThoiGianHoanThanhDonHang": done,
+            "ThoiGianHoanThanhDonHang": c("done"),
             "SKUSanPham": c("sku"),
             "TenNguoiNhan": c("customer_name"),
             "TinhThanhPho": c("city"),
             "QuanHuyen": c("district"),
             "PhuongXa": c("ward"),
             "PhuongThucThanhToan": c("payment"),
-            "SoLuong": c("quantity"),
+            "SoLuong": c("quantity_dec"),
             "GiaUuDai": c("paid"),
-            "GiaGoc": F.when(c("taxed"), c("price")).otherwise(F.lit(0).cast(MONEY)),
+            "GiaGoc": c("shopee_listed"),
             "TongGiaBanSanPham": c("total"),
-            "PhiCoDinh": share("0.05"),
-            "PhiDichVu": F.when(c("taxed"), _dec(c("paid") * c("tax"))),
-            "PhiThanhToan": F.when(c("discounted"), share("0.02")),
-            "PhiVanChuyenDuKien": freight,
+            "PhiCoDinh": c("fixed_fee"),
+            "PhiDichVu": c("service_fee"),
+            "PhiThanhToan": c("payment_fee"),
+            "PhiVanChuyenDuKien": c("freight"),
             "TrangThaiDonHang": c("status_text"),
             "LoaiDonHang": c("kind"),
         },
@@ -249,13 +257,13 @@ def _raw_columns() -> dict[str, dict[str, Column]]:
             "MaDonHang": c("order_text"),
             "Id": c("line_number"),
             "NgayDat": c("day"),
-            "NgayGiaoHangThanhCong": done,
+            "NgayGiaoHangThanhCong": c("done"),
             "SSKU": c("sku"),
             "PhuongThucThanhToan": c("payment"),
-            "SLBan": c("quantity"),
+            "SLBan": c("quantity_dec"),
             "DonGia": c("price"),
             "DoanhThu": c("total"),
-            "PhiPhaiTraTiki": F.when(c("taxed"), -share("0.09")),
+            "PhiPhaiTraTiki": c("negative_fee"),
             "TrangThai": c("status_text"),
         },
     }
