@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality_rules
+from . import exact_dedup, hyperminhash, quality_rules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,11 +21,16 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.digest(table(spark, folder, "documents"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return hyperminhash.groups(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_exact_dedup,
             op3_quality_rules,
+            op8_minhash_near_dedup,
         )
     }
