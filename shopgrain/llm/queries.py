@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, hyperminhash, quality_rules
+import public_tokenizers
+
+from . import exact_dedup, hyperminhash, packing, quality_rules, string_kernel
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,16 +23,27 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.digest(table(spark, folder, "documents"))
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return string_kernel.predicted(docs, string_kernel.train(docs))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return hyperminhash.groups(table(spark, folder, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_exact_dedup,
             op3_quality_rules,
+            op7_language_id,
             op8_minhash_near_dedup,
+            op9_best_fit_packing,
         )
     }
