@@ -100,9 +100,13 @@ def measured(docs: DataFrame, text: Column) -> DataFrame:
         then x.i end), p -> p is not null))"""
     covered = f"""aggregate({repeated}, struct(-3 as at, 0 as n),
         (s, p) -> struct(p as at, s.n + least(3, p - s.at) as n), s -> s.n)"""
-    return df.withColumn(
+    df = df.withColumn(
         "n_repeat_words", F.coalesce(F.expr(covered), F.lit(0)).cast("long")
     ).drop(windows)
+    # A filter on a measurement must not move below: it would repeat the work of all
+    # steps for every element. It cannot pass the explosion of an array of one row.
+    one = F.explode(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    return df.select(one.alias("_quality_all")).select("_quality_all.*")
 
 
 def failure_bits() -> Column:
