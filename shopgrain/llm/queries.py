@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from . import exact_dedup, hyperminhash, packing, quality_rules, string_kernel
+from . import exact_dedup, hyperminhash, packing, quality_rules, sentencepiece_bpe, string_kernel
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.digest(table(spark, folder, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepiece_bpe.digests(table(spark, folder, "documents"), path)
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return string_kernel.predicted(docs, string_kernel.train(docs))
@@ -42,6 +47,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_exact_dedup,
             op3_quality_rules,
+            op4_sentencepiece,
             op7_language_id,
             op8_minhash_near_dedup,
             op9_best_fit_packing,
