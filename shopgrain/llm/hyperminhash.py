@@ -2,9 +2,9 @@
 
 1. Each text becomes its set of five-word shingles, a digest of the set, and 256
    registers (hyperminhash_sketch). Texts with equal sets form one class.
-2. Registers of a class are cut into 51 bands of five. Band keys are dealt into sorted
+2. A class has 64 bands of six registers. Band keys are dealt into sorted
    ranges, so that a very frequent key spreads over many ranges; classes of equal key
-   are neighbours. At 75 % similarity a pair shares no band once in a million.
+   are neighbours. Of pairs of just 75 % similarity, four in a million share no band.
 3. Within a key each class is compared with the first one: the collision-corrected
    estimate drops pairs that cannot link, the others are confirmed on full sets.
 4. Links give components. Keys whose classes are then in one component are done. In the
@@ -32,15 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hyperminhash_sketch as sketch
-from .common import settled
+from .common import settled, sieve, through
 from .components import components
 
 PERCENT = 75
 #: Members of a block in which all pairs are estimated, and of a group that is
 #: confirmed against one text.
 BLOCK = 256
-#: Bits of the sieve that spares documents without candidates a shuffle (1 MB).
-SIEVE_BITS = 1 << 23
 CHUNK_PAIRS = 100_000
 
 
@@ -77,10 +75,12 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):
             part = batch.slice(at, 2048)
-            row, band = sketch.band_keys(_matrix(part.column("registers"), np.uint16, sketch.BUCKETS))
-            rows = pa.array(row)
+            row, number, band = sketch.band_keys(
+                _matrix(part.column("registers"), np.uint16, sketch.BUCKETS)
+            )
+            n = part.column("n").to_numpy()[row] * sketch.BANDS + number
             yield pa.RecordBatch.from_arrays(
-                [pa.array(band), part.column("cls").take(rows), part.column("n").take(rows)],
+                [pa.array(band), part.column("cls").take(pa.array(row)), pa.array(n)],
                 names=["band", "cls", "n"],
             )
 
@@ -148,7 +148,10 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared_bands(classes: DataFrame) -> DataFrame:
-    """(band, cls, n, first, first_n): classes with a band key that another one has too."""
+    """(band, cls, n, first, first_n): classes with a band key that another one has too.
+
+    The numbers n are the set's size times BANDS plus the number of the band.
+    """
     bands = classes.mapInArrow(_bands, "band long, cls long, n long")
     runs = settled(
         bands.repartitionByRange("band", "cls")
@@ -188,7 +191,8 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _first_pairs(shared: DataFrame, smalls: DataFrame) -> DataFrame:
     """Pairs (a, b) of a class and the first one of a band key, that may link."""
-    low, high = F.least("n", "first_n"), F.greatest("n", "first_n")
+    sizes = [F.floor(F.col(n) / sketch.BANDS) for n in ("n", "first_n")]
+    low, high = F.least(*sizes), F.greatest(*sizes)
     pairs = (
         shared.where((F.col("cls") != F.col("first")) & (100 * low >= PERCENT * high))
         .select(F.col("cls").alias("a"), F.col("first").alias("b"))
@@ -219,8 +223,7 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = sketch.may_link(small[i], small[j], n[i], n[j], PERCENT)
         i, j = i[may], j[may]
         if len(i):
-            shape = (len(i), sketch.BANDS, sketch.ROWS)
-            a, b = (small[x, : sketch.BANDS * sketch.ROWS].reshape(shape) for x in (i, j))
+            a, b = (small[x][:, sketch.IN_BAND] for x in (i, j))
             alike = (a == b).all(axis=2) & (a != 255).any(axis=2)
             first = alike.argmax(axis=1) >= table.column("number").to_numpy()[i]
             i, j = i[first], j[first]
@@ -266,29 +269,13 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from groups(held.combine_chunks())
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """band key -> number of the band: the first register rows whose key it is."""
-    for batch in batches:
-        out = np.zeros(batch.num_rows, np.int64)
-        registers = _matrix(batch.column("registers"), np.uint16, sketch.BUCKETS)
-        row, key = sketch.band_keys(registers)
-        wanted = batch.column("band").to_numpy(zero_copy_only=False)
-        used = (registers[:, : sketch.BANDS * sketch.ROWS].reshape(len(registers), sketch.BANDS, -1) != sketch.EMPTY).any(axis=2)
-        number = np.nonzero(used)[1]
-        hit = key == wanted[row]
-        out[row[hit]] = number[hit]
-        small = pa.array([r.tobytes() for r in sketch.small(registers)], pa.binary())
-        at = batch.schema.get_field_index("registers")
-        yield batch.set_column(at, "small", small).append_column("number", pa.array(out))
-
-
-def _other_pairs(shared: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+def _other_pairs(shared: DataFrame, smalls: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes that share a band key, are in different components of
     `found` and may link."""
     component = F.coalesce("component", "cls")
     members = settled(
         shared.join(found.withColumnRenamed("node", "cls"), "cls", "left").select(
-            "band", "cls", component.alias("component"), F.col("n").alias("size")
+            "band", "cls", component.alias("component"), F.col("n").alias("packed")
         )
     )
     split = (
@@ -298,12 +285,10 @@ def _other_pairs(shared: DataFrame, classes: DataFrame, found: DataFrame) -> Dat
         .select("band", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks"))
     )
     rows = (
-        members.drop("size")
-        .join(split, "band")
-        .join(classes.select("cls", "n", "registers"), "cls")
-        .mapInArrow(
-            _numbered, "cls long, band long, component long, blocks long, n long, small binary, number long"
-        )
+        members.join(split, "band")
+        .join(smalls, "cls")
+        .withColumn("number", F.pmod("packed", F.lit(sketch.BANDS)))
+        .drop("packed")
         .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
         .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumns({"low": F.least("block", "with"), "high": F.greatest("block", "with")})
@@ -357,33 +342,10 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _sieve(ids: DataFrame, id_column: str = "id") -> DataFrame:
-    """A bitmap of hashed ids, in 256 rows of 4 KB, whatever the number of ids."""
-    bit = F.pmod(F.xxhash64(id_column), F.lit(SIEVE_BITS)) + 1  # bit positions count from 1
-    return ids.groupBy(F.bitmap_bucket_number(bit).alias("_sieve_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_sieve_bits")
-    )
-
-
-def _through(rows: DataFrame, sieve: DataFrame, id_column: str) -> DataFrame:
-    """rows with `_sieve_hit`: false for those whose id is surely not in the sieve."""
-    bit = F.pmod(F.xxhash64(id_column), F.lit(SIEVE_BITS)) + 1
-    position = F.bitmap_bit_position(bit)
-    byte = F.hex(F.substring("_sieve_bits", (position / 8).cast("int") + 1, F.lit(1)))
-    value = F.conv(byte, 16, 10).cast("long")
-    hit = F.getbit(value, (position % 8).cast("int")) == 1
-    return (
-        rows.withColumn("_sieve_bucket", F.bitmap_bucket_number(bit))
-        .join(F.broadcast(sieve), "_sieve_bucket", "left")
-        .withColumn("_sieve_hit", F.coalesce(hit, F.lit(False)))
-        .drop("_sieve_bucket", "_sieve_bits")
-    )
-
-
 def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The texts of these ids; the sieve keeps most others out of the shuffle."""
     ids = settled(ids)
-    likely = _through(texts, _sieve(ids), "id").where("_sieve_hit").drop("_sieve_hit")
+    likely = through(texts, sieve(ids, "id"), "id").where("_sieve_hit").drop("_sieve_hit")
     return settled(likely.join(ids, "id", "left_semi"))
 
 
@@ -410,7 +372,7 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     first = settled(_first_pairs(shared, smalls))
     links = settled(_confirmed(first, _texts_of(texts, sides(first))))
     found = components(links)
-    others = settled(_other_pairs(shared, sketches, found).join(first, ["a", "b"], "left_anti"))
+    others = settled(_other_pairs(shared, smalls, found).join(first, ["a", "b"], "left_anti"))
     more = _confirmed(others, _texts_of(texts, sides(others)))
     whole = components(links.unionByName(more))
 
@@ -446,7 +408,7 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_near_row"),
         F.col(f"`{id_column}`").cast("long").alias("_near_id"),
     )
-    marked = _through(row, _sieve(gone, "_near_id"), "_near_id")
+    marked = through(row, sieve(gone, "_near_id"), "_near_id")
     suspects = marked.where("_sieve_hit").join(gone, "_near_id", "left_anti")
     return (
         marked.where(~F.col("_sieve_hit"))

@@ -15,12 +15,16 @@ WORDS = 5
 BUCKETS = 256
 MANTISSA = 10
 EMPTY = np.uint16(0xFFFF)
-BANDS, ROWS = 51, 5  # 51 * 5 of the 256 registers are in bands
+BANDS, ROWS = 64, 6
+#: Registers of each band: 42 bands side by side, and 22 that step through all buckets.
+IN_BAND = np.concatenate(
+    [np.arange(42 * ROWS).reshape(42, ROWS), np.arange(22)[:, None] + 43 * np.arange(ROWS)[None, :]]
+)
 
 #: Constant of the expected number of accidental register collisions; a fixed value.
 COLLISIONS = 0.169919487159739093975315012348630288992889
 #: Pairs are given up before verification only this many standard deviations low.
-MARGIN = 5.0
+MARGIN = 4.0
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -58,16 +62,16 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of each band with a register that is not empty; sketches: rows of 256."""
-    bands = sketches[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
+def band_keys(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, band, key) of each band with a register that is not empty; sketches: rows of 256."""
+    bands = sketches[:, IN_BAND]
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bands.shape[:2]).copy()
     with np.errstate(over="ignore"):
         for i in range(ROWS):
             key = (key ^ bands[:, :, i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(29)
     row, band = np.nonzero((bands != EMPTY).any(axis=2))
-    return row, key[row, band].view(np.int64)
+    return row, band, key[row, band].view(np.int64)
 
 
 def small(sketches: np.ndarray) -> np.ndarray:

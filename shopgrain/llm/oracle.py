@@ -16,6 +16,20 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM r
 """
 
+OP2 = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
 OP3 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents
@@ -53,4 +67,4 @@ FROM b
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op3_quality_rules": OP3}
+    return {"op1_exact_dedup": OP1, "op2_warc": OP2, "op3_quality_rules": OP3}

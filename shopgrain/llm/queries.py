@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from . import exact_dedup, hyperminhash, packing, quality_rules, sentencepiece_bpe, string_kernel
+from . import (
+    exact_dedup,
+    hyperminhash,
+    packing,
+    quality_rules,
+    sentencepiece_bpe,
+    string_kernel,
+    warc,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +27,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.groups(table(spark, folder, "documents"))
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.digest(table(spark, folder, "documents"))
 
@@ -46,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_exact_dedup,
+            op2_warc,
             op3_quality_rules,
             op4_sentencepiece,
             op7_language_id,
