@@ -10,6 +10,7 @@ import public_tokenizers
 
 from . import (
     exact_dedup,
+    html_mincut,
     hyperminhash,
     packing,
     quality_rules,
@@ -40,6 +41,10 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, folder, "documents"), path)
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_mincut.extracted(table(spark, folder, "pages"))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return string_kernel.predicted(docs, string_kernel.train(docs))
@@ -61,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_warc,
             op3_quality_rules,
             op4_sentencepiece,
+            op6_html_extraction,
             op7_language_id,
             op8_minhash_near_dedup,
             op9_best_fit_packing,
