@@ -16,6 +16,7 @@ from . import (
     quality_rules,
     sentencepiece_bpe,
     string_kernel,
+    url_graph,
     warc,
 )
 
@@ -41,6 +42,10 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, folder, "documents"), path)
 
 
+def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_graph.judged(table(spark, folder, "pages"))
+
+
 def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_mincut.extracted(table(spark, folder, "pages"))
 
@@ -66,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_warc,
             op3_quality_rules,
             op4_sentencepiece,
+            op5_url_filters,
             op6_html_extraction,
             op7_language_id,
             op8_minhash_near_dedup,
