@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"  # stands for a blank in pieces; a fixed value
 PARTS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
-#: Parts and pairs that a task remembers; beyond that it starts anew.
-REMEMBERED = 300_000
+#: Parts and pairs that a worker remembers, for all its tasks; beyond that it starts anew.
+REMEMBERED = 600_000
 
 
 class Vocabulary:
@@ -163,9 +164,14 @@ class Vocabulary:
         return raw.decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def _vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
 def _coded(path: str):
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
+        vocabulary = _vocabulary(path)
         for batch in batches:
             n, ids_sha, text_sha = [], [], []
             for text in batch.column("text"):
@@ -192,7 +198,7 @@ def encoded(docs: DataFrame, path: str, id_column: str = "doc_id", text_column:
     """id and `ids`: the whole text's token ids, begin and end id included."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
+        vocabulary = _vocabulary(path)
         for batch in batches:
             ids = [np.frombuffer(vocabulary.encode(t.as_py() or ""), "<u4") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
@@ -207,7 +213,7 @@ def decoded(ids: DataFrame, path: str, id_column: str = "doc_id", ids_column: st
     """id and `text` of token ids; null ids give an empty text."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
+        vocabulary = _vocabulary(path)
         for batch in batches:
             texts = [vocabulary.decode(np.array(i.as_py() or [], "<u4").tobytes()) for i in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string())], names=["id", "text"])
