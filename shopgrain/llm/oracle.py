@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from .license_scan import CUE, PARAGRAPH, SENTENCE, THRESHOLD
+from .license_templates import TOKEN, inverse_frequencies, vectors
+
 OP1 = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -66,5 +69,46 @@ FROM b
 """
 
 
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else repr(v) for v in r) + ")" for r in rows)
+
+
+_IDF, _OTHER = inverse_frequencies()
+
+OP10 = rf"""
+WITH idf(token, idf) AS (VALUES {_values(sorted(_IDF.items()))}),
+known(template, licence, token, share) AS (VALUES {_values(vectors())}),
+d AS (
+  SELECT doc_id, source || '/' || doc_id::VARCHAR AS path, text,
+         regexp_matches(coalesce(text, ''), '{CUE}') AS cue FROM documents
+), lines AS (
+  SELECT DISTINCT doc_id, unnest(string_split(text, chr(10))) AS segment FROM d WHERE cue
+), segments AS (
+  SELECT doc_id, unnest(regexp_split_to_array(text, '{PARAGRAPH}')) AS segment FROM d WHERE cue
+  UNION SELECT * FROM lines
+  UNION SELECT doc_id, unnest(regexp_extract_all(segment, '{SENTENCE}')) FROM lines WHERE regexp_matches(segment, '{CUE}')
+), s AS (
+  SELECT * FROM segments WHERE regexp_matches(segment, '{CUE}')
+), terms AS (
+  SELECT segment, token, count(*) * coalesce(any_value(idf), {_OTHER!r}) AS weight
+  FROM (SELECT segment, unnest(regexp_extract_all(lower(segment), '{TOKEN}')) AS token FROM (SELECT DISTINCT segment FROM s))
+  LEFT JOIN idf USING (token) GROUP BY 1, 2
+), dots AS (
+  SELECT segment, template, licence, sum(weight * share) AS dot FROM terms JOIN known USING (token) GROUP BY 1, 2, 3
+), lengths AS (
+  SELECT segment, sqrt(sum(weight * weight)) AS length FROM terms GROUP BY 1
+), best AS (
+  SELECT segment, licence, round(dot / length, 6) AS score FROM dots JOIN lengths USING (segment)
+  QUALIFY row_number() OVER (PARTITION BY segment ORDER BY dot DESC, licence DESC) = 1
+), own AS (
+  SELECT doc_id, licence, score FROM s JOIN best USING (segment) WHERE score >= {THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence DESC) = 1
+)
+SELECT doc_id, path, licence, score, CASE WHEN licence IS NOT NULL THEN 'own' END AS origin,
+       NULL::VARCHAR AS licence_dir
+FROM d LEFT JOIN own USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op2_warc": OP2, "op3_quality_rules": OP3}
+    return {"op1_exact_dedup": OP1, "op2_warc": OP2, "op3_quality_rules": OP3, "op10_license_scan": OP10}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
@@ -12,6 +13,7 @@ from . import (
     exact_dedup,
     html_mincut,
     hyperminhash,
+    license_scan,
     packing,
     quality_rules,
     sentencepiece_bpe,
@@ -63,6 +65,13 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files of their source's directory."""
+    docs = table(spark, folder, "documents")
+    path = F.concat_ws("/", "source", "doc_id")
+    return license_scan.scanned(docs.select("doc_id", "text", path.alias("path")), "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -76,5 +85,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op7_language_id,
             op8_minhash_near_dedup,
             op9_best_fit_packing,
+            op10_license_scan,
         )
     }
