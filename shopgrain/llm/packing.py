@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,39 +29,83 @@ from .common import settled
 
 CAPACITY = 2048
 END = 0
-#: Words a task keeps encoded; beyond that it starts anew.
-REMEMBERED = 400_000
+#: Words a worker keeps encoded, for all its tasks; beyond that it starts anew.
+REMEMBERED = 800_000
+#: Texts whose new words are encoded together.
+TEXTS = 256
 RANK_BITS = 44
 
 
 class _Words(dict):
-    """Encoded words as bytes of little-endian unsigned 32-bit ids."""
+    """Encoded words as bytes of little-endian unsigned 32-bit ids.
+
+    The vocabulary is case-blind, so texts are looked up in lower case, unless they may
+    hold a special token. New words of many texts are encoded in one call, with full
+    stops between them; a comma or full stop after a letter is a word of its own.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.stop = self.tokenizer.encode(".", add_special_tokens=False).ids
+
+    @staticmethod
+    def stem(word: bytes) -> bytes:
+        return word[:-1] if word[-1:] in (b".", b",") and word[-2:-1].isalpha() else word
 
     def __missing__(self, word: bytes) -> bytes:
+        stem = self.stem(word)
+        if stem is not word:
+            found = self[stem] + self[word[-1:]]
+        else:
+            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+            found = np.array(ids, "<u4").tobytes()
+        self[word] = found
+        return found
+
+    def learn(self, words: set[bytes]) -> None:
+        new = [w for w in {self.stem(w) for w in words} - self.keys() if b"." not in w and b"<|" not in w]
+        if not new or len(self.stop) != 1:
+            return
+        text = b" . ".join(new).decode("utf-8", "replace")
+        (encoding,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.array(encoding.ids, "<u4")
+        ends = (4 * np.append(np.flatnonzero(ids == self.stop[0]), len(ids))).tolist()
+        raw, at = ids.tobytes(), 0
+        for word, end in zip(new, ends, strict=True):
+            self[word] = raw[at:end]
+            at = end + 4
+
+    def encoded(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text."""
         if len(self) >= REMEMBERED:
             self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        found = self[word] = np.array(ids, "<u4").tobytes()
-        return found
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        self.learn(set().union(*split) - self.keys())
+        for words in split:
+            yield b"".join(map(self.__getitem__, words))
+
+
+@lru_cache(maxsize=1)
+def _words(path: str) -> _Words:
+    return _Words(path)
 
 
 def _pieces(path: str, capacity: int, end: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, source = _Words(path), TaskContext.get().partitionId()
+        words, source = _words(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         closing = np.array([end], "<u4").tobytes()
         step = 4 * capacity
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
             row, piece, length, crc = [], [], [], []
-            for i, text in enumerate(texts):
-                ids = b"".join(map(words.__getitem__, (text.as_py() or b"").split())) + closing
+            plain = [text.as_py() or b"" for text in texts]
+            coded = (ids for i in range(0, len(plain), TEXTS) for ids in words.encoded(plain[i : i + TEXTS]))
+            for i, found in enumerate(coded):
+                ids = found + closing
                 for p, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
                     row.append(i)
