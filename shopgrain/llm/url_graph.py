@@ -155,13 +155,11 @@ def host_verdicts(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "host",
     ).where(F.col("s.share") > SEED_SHARE)
     ranks = spread(both, seeds.select("s.kind", "host", F.lit(1.0).alias("weight")))
-    known = hosts.select("host").unionByName(edges.select(F.col("target").alias("host"))).distinct()
-    number = known.agg(F.count(F.lit(1)).alias("hosts"))  # one row
+    known = settled(hosts.select("host").unionByName(edges.select(F.col("target").alias("host"))).distinct())
+    number = known.count()
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0))
     per_host = ranks.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
-    scaled = per_host.join(F.broadcast(number)).select(
-        "host", *((F.col(c) * F.col("hosts")).alias(c) for c in ("trust", "distrust"))
-    )
+    scaled = per_host.select("host", *((F.col(c) * number).alias(c) for c in ("trust", "distrust")))
     blocked = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= threshold)
     return known.join(scaled, "host", "left").select(
         "host",
