@@ -60,10 +60,9 @@ def trimmed(value: Column) -> Column:
     return F.trim(value)
 
 
-def text(value: Column, length: int | None = None) -> Column:
-    """Text form, cut to `length` characters where the target has a width."""
-    as_text = value.cast("string")
-    return as_text if length is None else F.substring(as_text, 1, length)
+def text(value: Column) -> Column:
+    """Text form, whole: the products have no column widths."""
+    return value.cast("string")
 
 
 def spelled(value: Column, spellings: Iterable[str]) -> Column:
@@ -77,7 +76,7 @@ def spelled(value: Column, spellings: Iterable[str]) -> Column:
 
 def flag(value: Column) -> Column:
     """Boolean of a flag that may arrive as text, number or boolean."""
-    return spelled(text(value, 10), words.TRUE_TEXT)
+    return spelled(F.trim(text(value)), words.TRUE_TEXT)
 
 
 def mentions(value: Column, parts: Iterable[str]) -> Column:

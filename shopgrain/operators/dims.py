@@ -94,7 +94,7 @@ def dim_employee(store_staff: DataFrame, online_staff: DataFrame) -> DataFrame:
                 "EmpID": c("emp_id"),
                 "EmpName": trimmed(c("emp_name")),
                 "Gender": c("Gender"),
-                "Department": text(c("Department"), 100),
+                "Department": text(c("Department")),
                 "Role": _role(flag(c("BGD"))),
                 "StoreID": c("SiteID"),
                 "IsActive": flag(c("IsActive")),
@@ -110,7 +110,7 @@ def dim_employee(store_staff: DataFrame, online_staff: DataFrame) -> DataFrame:
             {
                 "EmpID": c("Code"),
                 "EmpName": trimmed(c("Name")),
-                "Department": text(c("Department"), 100),
+                "Department": text(c("Department")),
                 "Role": _role(whole(c("IsLeader")) == 1),
                 "IsActive": True,
                 "Channel": words.STAFF_ONLINE,

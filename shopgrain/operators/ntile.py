@@ -10,8 +10,8 @@ counting:
    each bucket on its own;
 4. a row's tile is one plus the number of tile ends before it.
 
-Where the sample holds every row, it gives the ends of the tiles itself. The
-sample only decides how even the buckets are; the result is exact.
+The sample only decides how even the buckets are; the result is exact, by the same
+steps for any number of rows.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import Order, Place, bucket_count, rows_of_sample, sample_bounds, sampled_rate
+from .ordering import Order, Place, bucket_count, sample_bounds
 
 
 def tile_ends(rows: int, tiles: int) -> list[int]:
@@ -54,8 +54,6 @@ def _rows_at(
     frame: DataFrame, rows: int, ident: str, numbers: Sequence[int], orders: Mapping[str, Order], buckets: int | None
 ) -> list[list[Place]]:
     """The rows with the given numbers, from 1, in each order."""
-    if buckets is None and sampled_rate(rows) == 1:
-        return rows_of_sample(frame, rows, [ident], list(orders.values()), [number - 1 for number in numbers])
     bounds = sample_bounds(frame, rows, [ident], list(orders.values()), buckets or bucket_count(rows))
     bucket_of = {
         name: order.places_before(cuts).cast("int") for (name, order), cuts in zip(orders.items(), bounds)

@@ -9,6 +9,7 @@ any other stretch of the order.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import cached_property, reduce
 
@@ -16,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 500_000
-MIN_BUCKETS, MAX_BUCKETS = 4, 512
+MIN_BUCKETS = 4
 SAMPLE_ROWS = 20_000
+#: At most one row in so many is sampled, also of small frames.
+LEAST_RATE = 8
 FEW = 8
 
 # The values and id of a row as text; Spark casts them back.
@@ -25,7 +28,7 @@ Place = tuple[str | None, ...]
 
 
 def bucket_count(rows: int) -> int:
-    return min(MAX_BUCKETS, max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
+    return max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET))
 
 
 class Order:
@@ -48,18 +51,24 @@ class Order:
         return F.struct(*[position[f"p{at}"].cast("string").alias(f"p{at}") for at in range(len(self.columns))])
 
     def places_before(self, places: Sequence[Place]) -> Column:
-        """How many of `places` come before the row."""
+        """How many of `places`, which are sorted, come before the row.
+
+        Many are searched in two steps, first among every n-th, then within one stretch.
+        """
         if not places:
             return F.lit(0)
         if len(places) <= FEW:
             return reduce(Column.__add__, [(self.position > self.literal(p)).cast("int") for p in places])
-        listed = F.array(*map(self.literal, places))
-        return F.size(F.filter(listed, lambda place: place < self.position))
+        step = math.isqrt(len(places) - 1) + 1
+        every = F.array(*map(self.literal, places[step - 1 :: step]))
+        passed = F.size(F.filter(every, lambda place: place < self.position)) * step
+        stretch = F.slice(F.array(*map(self.literal, places)), passed + 1, F.lit(step))
+        return passed + F.size(F.filter(stretch, lambda place: place < self.position))
 
 
 def sampled_rate(rows: int) -> int:
-    """One row in how many is sampled; all of them when they are few."""
-    return max(1, -(-rows // SAMPLE_ROWS))
+    """One row in how many is sampled, so that a sample is bounded."""
+    return max(LEAST_RATE, -(-rows // SAMPLE_ROWS))
 
 
 def sample_bounds(
@@ -82,9 +91,7 @@ def rows_of_sample(
     Spark sorts the sample, so that bounds and comparisons share one order.
     Numbers past the end of the sample are left out.
     """
-    sampled = frame
-    if sampled_rate(rows) > 1:
-        sampled = frame.filter(F.pmod(F.xxhash64(*key), F.lit(sampled_rate(rows))) == 0)
+    sampled = frame.filter(F.pmod(F.xxhash64(*key), F.lit(sampled_rate(rows))) == 0)
     sorted_sample = sampled.agg(
         *[F.sort_array(F.collect_list(order.position)).alias(f"o{at}") for at, order in enumerate(orders)]
     )

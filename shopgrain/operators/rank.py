@@ -1,52 +1,16 @@
-"""Rank rows within groups of any size.
-
-A window over a group sorts the whole group in one task. Where the rows are few
-that is the right plan; beyond a measured size each group is cut into buckets,
-rows are numbered within their bucket, and the rows of earlier buckets are added.
-"""
+"""Rank rows that are already summed, such as stores within a month."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import ROWS_PER_BUCKET, Order, bucket_count, sample_bounds
-from .settle import settle
-
 
-def add_rank(
-    frame: DataFrame, name: str, group: str, value: str, ident: str, window_rows: int = ROWS_PER_BUCKET
-) -> DataFrame:
-    """Add the place of each row in its group: largest value first, then id.
+def add_rank(frame: DataFrame, name: str, group: list[str], value: str, ident: str) -> DataFrame:
+    """Add the place of each row in its group: largest value first, absent ones last, then id.
 
-    `group` and `ident` together must be unique, and the values not null.
+    One lazy window. A group is sorted in one task, so it is for rows that are sums, of
+    which a group holds as many as there are ids. Rows with an absent group are a group.
     """
-    settled = settle(frame)
-    rows = settled.count()
-    if rows <= window_rows:
-        window = Window.partitionBy(group).orderBy(F.desc(value), ident)
-        return settled.withColumn(name, F.row_number().over(window))
-    return _rank_in_buckets(settled, rows, name, group, value, ident, bucket_count(rows))
-
-
-def _rank_in_buckets(
-    settled: DataFrame, rows: int, name: str, group: str, value: str, ident: str, buckets: int
-) -> DataFrame:
-    ordered = settled.withColumn("_falling", -F.col(value))
-    order = Order(ordered, [group, "_falling"], ident)
-    (bounds,) = sample_bounds(ordered, rows, [group, ident], [order], buckets)
-    bucketed = ordered.withColumn("_bucket", order.places_before(bounds).cast("int"))
-
-    # A bucket is a stretch of the order, so there are at most as many pairs of
-    # group and bucket as there are groups and buckets together.
-    sizes = bucketed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(group, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-
-    within = Window.partitionBy(group, "_bucket").orderBy("_falling", ident)
-    numbered = bucketed.withColumn("_number", F.row_number().over(within))
-    return (
-        numbered.join(offsets, [group, "_bucket"])
-        .withColumn(name, (F.col("_number") + F.col("_offset")).cast("int"))
-        .select(*settled.columns, name)
-    )
+    window = Window.partitionBy(*group).orderBy(F.col(value).desc_nulls_last(), F.col(ident).asc_nulls_last())
+    return frame.withColumn(name, F.row_number().over(window))

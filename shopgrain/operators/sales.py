@@ -115,8 +115,8 @@ def _store_order(raw: Raw) -> dict:
         "IsSuccess": is_code(status, words.STORE_SUCCESS),
         "IsCancelled": is_code(status, words.STORE_CANCELLED),
         "IsUnknown": is_code(status, words.STORE_UNKNOWN),
-        "SourceID": text(raw["Source"], 20),
-        "OrderType": text(raw["OrderType"], 50),
+        "SourceID": text(raw["Source"]),
+        "OrderType": text(raw["OrderType"]),
     }
 
 
@@ -149,13 +149,13 @@ def _telesales_order(raw: Raw) -> dict:
         "CustomerID": text(raw["CustomerID"]),
         "CustomerName": raw["CustomerName"],
         "CustomerProvince": raw["Provinces"],
-        "PaymentMethod": text(raw["PaymentMethod"], 100),
+        "PaymentMethod": text(raw["PaymentMethod"]),
         "StatusRaw": text(status),
         "StatusName": raw["StatusName"],
         "IsSuccess": is_code(status, words.TELESALES_SUCCESS),
         "IsCancelled": is_code(status, words.TELESALES_CANCELLED),
-        "SourceID": text(raw["Source"], 20),
-        "OrderType": text(raw["CategoryID"], 50),
+        "SourceID": text(raw["Source"]),
+        "OrderType": text(raw["CategoryID"]),
     }
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,18 +11,17 @@ def settle(frame: DataFrame) -> DataFrame:
     """Write the frame once to the shared checkpoint folder and read it back.
 
     A written table outlives lost executors and lets later jobs read only the
-    columns they need. The folder is the session's `spark.checkpoint.dir`.
+    columns they need. The folder is the session's `spark.checkpoint.dir`, or its
+    warehouse where that is unset; the table goes when the application ends.
     """
-    path = f"{_shared_folder(frame.sparkSession)}/settled-{uuid.uuid4().hex}"
+    spark = frame.sparkSession
+    path = f"{_shared_folder(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    written = jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(written)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shopgrain-"))
-    return spark.sparkContext.getCheckpointDir()
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")

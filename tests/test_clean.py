@@ -80,5 +80,10 @@ def test_joined_text_takes_null_as_empty(spark):
     assert sorted(r["r"] for r in joined) == ["_b", "a_", "a_b"]
 
 
-def test_text_is_cut_to_width(apply):
-    assert apply(lambda c: clean.text(c, 3), ["abcdef", None]) == ["abc", None]
+def test_text_stays_whole(apply):
+    long = "a name of more than twenty-five characters"
+    assert apply(clean.text, [long, None]) == [long, None]
+
+
+def test_flags_are_read_to_their_end(apply):
+    assert apply(clean.flag, ["1         no", " 1 ", "true ", "1" + " " * 30]) == [False, True, True, True]
