@@ -42,19 +42,6 @@ OWNED_DIRECTLY, OWNED_BY_FRANCHISE = "Directly Owned", "Franchise"
 ROLE_MANAGER, ROLE_STAFF = "Manager", "Staff"
 STAFF_OFFLINE, STAFF_ONLINE = "Offline", "Online"
 
-# Customer segments, in the order in which their rules are tried. A rule is the
-# lowest and highest score allowed for recency, frequency and monetary value.
-SEGMENT_RULES = (
-    ("Champion", (4, 5), (4, 5), (4, 5)),
-    ("Loyal", (3, 5), (3, 5), (3, 5)),
-    ("New Customer", (4, 5), (1, 2), (1, 5)),
-    ("Potential Loyalist", (3, 5), (2, 5), (3, 5)),
-    ("At Risk", (1, 2), (3, 5), (3, 5)),
-    ("Lost Champion", (1, 1), (3, 5), (1, 5)),
-    ("Lost", (1, 2), (1, 2), (1, 5)),
-)
-SEGMENT_OTHERWISE = "Need Attention"
-
 # Names under which the eight products are published.
 VIEW_NAMES = {
     "dim_product": "v_DimProduct",

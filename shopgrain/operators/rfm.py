@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import cache, reduce
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import vocabulary as words
 from ..sources.contract import contract_columns
 from ..functions.measures import percent, ratio
 from .ntile import add_tiles
@@ -25,16 +24,16 @@ def customer_base(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     """
     days = dim_date.select("DateKey", "FullDate")
     last_day = days.agg(F.max("FullDate").alias("day")).select("day").scalar()
-    completed = sales.filter(F.col("IsSuccess") & F.col("CustomerID").isNotNull()).select(
-        "CustomerID", "OrderID", "DateKey", "NetRevenue"
-    )
+    completed = sales.filter(F.col("IsSuccess") & F.col("CustomerID").isNotNull())
+    # Lines are folded to orders by day before they meet the calendar.
+    orders = completed.groupBy("CustomerID", "OrderID", "DateKey").agg(F.sum("NetRevenue").alias("NetRevenue"))
     return (
-        completed.join(days, "DateKey")
+        orders.join(days, "DateKey")
         .groupBy("CustomerID")
         .agg(
             F.max("FullDate").alias("LastDay"),
             F.countDistinct("OrderID").alias("Frequency"),
-            F.sum("NetRevenue").alias("Monetary"),
+            F.sum("NetRevenue").cast("decimal(38,4)").alias("Monetary"),
         )
         .select("CustomerID", F.datediff(last_day, F.col("LastDay")).alias("Recency_Days"), "Frequency", "Monetary")
     )
@@ -72,15 +71,17 @@ def _scored(frame: DataFrame, tiles: dict[str, Column]) -> DataFrame:
 
 def segment(r: Column, f: Column, m: Column) -> Column:
     """Segment label of three scores: the first rule that holds."""
-    rules = [
-        (label, reduce(Column.__and__, [s.between(*allowed) for s, allowed in zip((r, f, m), ranges)]))
-        for label, *ranges in words.SEGMENT_RULES
-    ]
-    (label, rule), *rest = rules
-    chain = F.when(rule, label)
-    for label, rule in rest:
-        chain = chain.when(rule, label)
-    return chain.otherwise(words.SEGMENT_OTHERWISE)
+    # Labels, thresholds and their order.
+    return (
+        F.when((r >= 4) & (f >= 4) & (m >= 4), "Champion")
+        .when((r >= 3) & (f >= 3) & (m >= 3), "Loyal")
+        .when((r >= 4) & (f <= 2), "New Customer")
+        .when((r >= 3) & (f >= 2) & (m >= 3), "Potential Loyalist")
+        .when((r <= 2) & (f >= 3) & (m >= 3), "At Risk")
+        .when((r == 1) & (f >= 3), "Lost Champion")
+        .when((r <= 2) & (f <= 2), "Lost")
+        .otherwise("Need Attention")
+    )
 
 
 def label(scored: DataFrame) -> DataFrame:

@@ -3,19 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vocabulary as words
-from .settle import settle
 
-# A dimension is broadcast only when its measured size is below both bounds.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
 NULL_KEY_BUCKETS = 1024
 
 
@@ -29,101 +23,52 @@ def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
     return counts.filter(F.col("rows") > 1)
 
 
-@dataclass(frozen=True)
-class DimensionSize:
-    rows: int
-    bytes: int
-    most_per_key: int
+def check_keys(dims: Mapping[str, DataFrame], relationships: Mapping[str, tuple[str, Mapping[str, str]]]) -> None:
+    """Refuse dimensions with a repeated key; one job per dimension, apart from the join."""
+    for name, (key, _) in relationships.items():
+        if not duplicate_keys(dims[name], key).isEmpty():
+            raise DuplicateKeyError(f"{key} is not unique in {name}")
 
-    @property
-    def broadcastable(self) -> bool:
-        return self.rows <= BROADCAST_ROWS and self.bytes <= BROADCAST_BYTES
-
-
-def measure(dim: DataFrame, key: str) -> DimensionSize:
-    """Rows, bytes and rows per key, measured in one aggregation job."""
-    width = sum((_bytes_of(field) for field in dim.schema), F.lit(8))
-    per_key = dim.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
-    repeated = F.when(F.col(key).isNotNull(), F.col("n"))
-    rows, size, most = per_key.agg(F.sum("n"), F.sum("bytes"), F.max(repeated)).first()
-    return DimensionSize(rows or 0, size or 0, most or 0)
-
-
-def _bytes_of(field: T.StructField) -> Column:
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(field.name), F.lit(0)) + 8
-    return F.lit(16)
-
-
-@dataclass(frozen=True)
-class PreparedDimension:
-    """The columns of a dimension that a join takes, settled, with their size."""
-
-    rows: DataFrame
-    size: DimensionSize
-    key: str
-    columns: Mapping[str, str]
-
-
-def prepare(dim: DataFrame, key: str, columns: Mapping[str, str]) -> PreparedDimension:
-    """Settle and measure the columns used; a repeated key is refused.
-
-    `columns` maps dimension columns to their names in the result.
-    """
-    wanted = settle(dim.select(F.col(key).alias("_dim_key"), *[F.col(c).alias(f"_d_{n}") for c, n in columns.items()]))
-    size = measure(wanted, "_dim_key")
-    if size.most_per_key > 1:
-        raise DuplicateKeyError(f"{key} is not unique in its dimension; up to {size.most_per_key} rows share it")
-    return PreparedDimension(wanted, size, key, columns)
 
+def dimension_join(
+    fact: DataFrame, dim: DataFrame, key: str, columns: Mapping[str, str], row_id: list[str]
+) -> DataFrame:
+    """Left join that keeps every fact row, and repeats none if the dimension's key is unique.
 
-def dimension_join(fact: DataFrame, dim: PreparedDimension, row_id: list[str]) -> DataFrame:
-    """Left join that keeps every fact row and repeats none.
+    `columns` maps dimension columns to their names in the result. Facts without a
+    partner get the unknown member in text columns. Nothing runs here: Spark chooses
+    the join by its own statistics, and adaptive execution splits hot keys.
 
-    Facts without a partner get the unknown member in text columns. A small
-    dimension is broadcast. A larger one is joined by shuffle, where adaptive
-    execution splits hot keys; absent keys are spread over buckets by `row_id`,
-    as they would all meet in one task.
+    Absent keys would all meet in one task of a shuffled join, so they are spread over
+    buckets by `row_id`. The bucket is a second key: zero on the dimension and on present
+    keys, so those meet as before; an absent key matches nothing whatever its bucket.
     """
-    if dim.size.broadcastable:
-        joined = fact.join(F.broadcast(dim.rows), fact[dim.key] == dim.rows["_dim_key"], "left")
-    else:
-        joined = _spread_left_join(fact, dim.rows, dim.key, row_id)
+    bucket = F.when(fact[key].isNull(), F.pmod(F.xxhash64(*row_id), F.lit(NULL_KEY_BUCKETS))).otherwise(0)
+    left = fact.withColumn("_bucket", bucket.cast("int"))
+    right = dim.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_dim_key"), F.lit(0).alias("_dim_bucket"), *[F.col(c).alias(f"_d_{n}") for c, n in columns.items()]
+    )
+    joined = left.join(
+        right, (left[key] == right["_dim_key"]) & (left["_bucket"] == right["_dim_bucket"]), "left"
+    )
     named = []
-    for name in dim.columns.values():
+    for name in columns.values():
         found = F.col(f"_d_{name}")
-        if isinstance(dim.rows.schema[f"_d_{name}"].dataType, T.StringType):
+        if isinstance(right.schema[f"_d_{name}"].dataType, T.StringType):
             found = F.coalesce(found, F.lit(words.UNKNOWN_MEMBER))
         named.append(found.alias(name))
     return joined.select(*fact.columns, *named)
 
 
-def _spread_left_join(fact: DataFrame, wanted: DataFrame, fact_key: str, row_id: list[str]) -> DataFrame:
-    """Shuffled left join with the absent keys of the fact spread over buckets.
-
-    The bucket is a second key: zero on the dimension and on present keys, so
-    those meet as before; an absent key matches nothing whatever its bucket.
-    """
-    bucket = F.when(fact[fact_key].isNull(), F.pmod(F.xxhash64(*row_id), F.lit(NULL_KEY_BUCKETS))).otherwise(0)
-    left = fact.withColumn("_bucket", bucket.cast("int"))
-    right = wanted.filter(F.col("_dim_key").isNotNull()).withColumn("_dim_bucket", F.lit(0))
-    return left.join(
-        right, (left[fact_key] == right["_dim_key"]) & (left["_bucket"] == right["_dim_bucket"]), "left"
-    ).drop("_bucket", "_dim_bucket")
-
-
 def star_join(
     fact: DataFrame,
     dims: Mapping[str, DataFrame],
     relationships: Mapping[str, tuple[str, Mapping[str, str]]],
     row_id: list[str],
 ) -> DataFrame:
-    """Fact rows with attributes of their dimensions, every row kept once."""
-    # Preparing is a few short jobs per dimension; they run side by side.
-    with ThreadPoolExecutor(len(relationships)) as pool:
-        prepared = list(pool.map(lambda item: prepare(dims[item[0]], *item[1]), relationships.items()))
-    for dim in prepared:
-        fact = dimension_join(fact, dim, row_id)
+    """Fact rows with attributes of their dimensions; see `dimension_join` and `check_keys`."""
+    for name, (key, columns) in relationships.items():
+        fact = dimension_join(fact, dims[name], key, columns, row_id)
     return fact
 
 

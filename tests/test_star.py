@@ -3,8 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from shopgrain.operators import star
-from shopgrain.operators.star import DuplicateKeyError, dimension_join, prepare
+from shopgrain.operators.star import DuplicateKeyError, check_keys, dimension_join
 
 
 @pytest.fixture(scope="module")
@@ -24,28 +23,33 @@ def dim(spark):
 
 
 def joined(facts, dim):
-    return dimension_join(facts, prepare(dim, "StoreID", {"Region": "Region", "Size": "Size"}), ["OrderID"])
+    return dimension_join(facts, dim, "StoreID", {"Region": "Region", "Size": "Size"}, ["OrderID"])
 
 
-@pytest.mark.parametrize("rows_allowed", [star.BROADCAST_ROWS, 0])
-def test_every_fact_is_kept_once(facts, dim, monkeypatch, rows_allowed):
-    monkeypatch.setattr(star, "BROADCAST_ROWS", rows_allowed)
-    result = joined(facts, dim)
-    assert result.columns == ["OrderID", "StoreID", "amount", "Region", "Size"]
-    rows = {r["OrderID"]: r for r in result.collect()}
-    assert len(rows) == result.count() == 900
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_every_fact_is_kept_once(spark, facts, dim, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        result = joined(facts, dim)
+        assert result.columns == ["OrderID", "StoreID", "amount", "Region", "Size"]
+        rows = {r["OrderID"]: r for r in result.collect()}
+        assert len(rows) == result.count() == 900
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert (rows["0"]["Region"], rows["0"]["Size"]) == ("North", 1)
     assert (rows["1"]["Region"], rows["31"]["Region"], rows["31"]["Size"]) == ("South", "(unknown)", 3)
     assert (rows["2"]["StoreID"], rows["2"]["Region"], rows["2"]["Size"]) == (None, "(unknown)", None)
 
 
-def test_a_repeated_key_is_refused(facts, dim):
+def test_a_repeated_key_is_refused(dim):
+    relationship = {"dim": ("StoreID", {"Region": "Region"})}
+    check_keys({"dim": dim}, relationship)
     with pytest.raises(DuplicateKeyError):
-        joined(facts, dim.union(dim))
+        check_keys({"dim": dim.union(dim)}, relationship)
 
 
-def test_large_dimensions_are_not_broadcast(facts, dim, monkeypatch, spark):
-    monkeypatch.setattr(star, "BROADCAST_ROWS", 0)
+def test_large_dimensions_are_not_broadcast(facts, dim, spark):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -54,8 +58,3 @@ def test_large_dimensions_are_not_broadcast(facts, dim, monkeypatch, spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert "_bucket" in plan  # absent keys are spread
-
-
-def test_size_is_measured(dim):
-    size = star.measure(dim, "StoreID")
-    assert (size.rows, size.most_per_key) == (4, 1) and size.bytes > 0 and size.broadcastable
