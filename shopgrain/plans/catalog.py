@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import session
 from ..functions import vocabulary as words
 from ..operators import rfm
 from . import reports
@@ -18,6 +19,8 @@ REPORTS = (
     reports.channel_breakdown,
     reports.total_revenue,
     reports.channel_share,
+    reports.channel_group_share,
+    reports.overall_success,
     reports.platform_fee_rate,
     reports.net_after_fee,
     reports.avg_discount,
@@ -31,8 +34,10 @@ REPORTS = (
     reports.revenue_vs_target,
     reports.overall_achievement,
     reports.region_achievement,
+    reports.region_month_achievement,
     reports.manager_vs_target,
     reports.store_vs_target,
+    reports.store_ranking,
     reports.target_fanout_demo,
     reports.aov_vs_target,
     reports.mtd_ytd_daily,
@@ -48,7 +53,11 @@ REPORTS = (
 
 
 def _on_model(report: Callable[[RetailModel], DataFrame]) -> Query:
-    return lambda spark, folder: report(RetailModel.of_driver_tables(spark, folder))
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        session.apply(spark)
+        return report(RetailModel.of_driver_tables(spark, folder))
+
+    return query
 
 
 def _rfm_in_buckets(model: RetailModel) -> DataFrame:

@@ -271,10 +271,10 @@ scored AS (
 ),
 rfm AS (
   SELECT *, R_Score || '' || F_Score || '' || M_Score AS RFM_Score,
-    CASE WHEN least(R_Score, F_Score, M_Score) >= 4 THEN 'Champion'
-      WHEN least(R_Score, F_Score, M_Score) >= 3 THEN 'Loyal'
+    CASE WHEN R_Score >= 4 AND F_Score >= 4 AND M_Score >= 4 THEN 'Champion'
+      WHEN R_Score >= 3 AND F_Score >= 3 AND M_Score >= 3 THEN 'Loyal'
       WHEN R_Score >= 4 AND F_Score <= 2 THEN 'New Customer'
-      WHEN R_Score = 3 AND F_Score = 2 AND M_Score >= 3 THEN 'Potential Loyalist'
+      WHEN R_Score >= 3 AND F_Score >= 2 AND M_Score >= 3 THEN 'Potential Loyalist'
       WHEN R_Score <= 2 AND F_Score >= 3 AND M_Score >= 3 THEN 'At Risk'
       WHEN R_Score = 1 AND F_Score >= 3 THEN 'Lost Champion'
       WHEN R_Score <= 2 AND F_Score <= 2 THEN 'Lost' ELSE 'Need Attention' END AS RFM_Segment
@@ -400,6 +400,15 @@ FROM fact_sales GROUP BY Channel, ChannelGroup ORDER BY Revenue_Success DESC""",
                 "GROUP BY Channel, ChannelGroup"
             ),
         ),
+        "channel_group_share": _with(
+            sales, _shared(f"SELECT ChannelGroup, {_REVENUE} AS Revenue FROM fact_sales WHERE IsSuccess GROUP BY ChannelGroup")
+        ),
+        "overall_success": _with(
+            sales,
+            f"""SELECT *, {_pct("SuccessOrders", "Orders")} AS SuccessRate_Pct, {_pct("SuccessLines", "OrderLines")} AS LineSuccessRate_Pct
+FROM (SELECT count(DISTINCT OrderID) AS Orders, count(DISTINCT OrderID) FILTER (WHERE IsSuccess) AS SuccessOrders,
+    count(*) AS OrderLines, count(*) FILTER (WHERE IsSuccess) AS SuccessLines FROM fact_sales)""",
+        ),
         "platform_fee_rate": _with(
             sales,
             f"""SELECT *, {_pct("PlatformFee", "GMV")} AS FeeRate_Pct FROM (
@@ -452,11 +461,17 @@ GROUP BY f.SKUCode, ProductName, CategoryName, CollectionName ORDER BY TotalReve
         "revenue_vs_target": _with(SCOPED, _achieved("YearMonth, Channel, ChannelGroup")),
         "overall_achievement": _with(SCOPED, _achieved("")),
         "region_achievement": _with(SCOPED, _achieved("RegionName", "ChannelGroup = 'Offline'")),
+        "region_month_achievement": _with(SCOPED, _achieved("YearMonth, RegionName", "ChannelGroup = 'Offline'")),
         "manager_vs_target": _with(SCOPED, _achieved("YearMonth, AM_Name", "ChannelGroup = 'Offline'")),
         "store_vs_target": _with(
             SCOPED,
             f"""SELECT *, CAST(row_number() OVER (PARTITION BY YearMonth ORDER BY Actual DESC, StoreID) AS INTEGER) AS Revenue_Rank
 FROM ({_achieved("YearMonth, StoreID", "ChannelGroup = 'Offline'")})""",
+        ),
+        "store_ranking": _with(
+            SCOPED,
+            f"""SELECT *, CAST(row_number() OVER (ORDER BY Actual DESC, StoreID) AS INTEGER) AS Revenue_Rank
+FROM ({_achieved("StoreID", "ChannelGroup = 'Offline'")})""",
         ),
         "target_fanout_demo": _with(
             [sales, FACT_TARGET],
@@ -469,15 +484,16 @@ GROUP BY 1, 2, 3""",
         ),
         "aov_vs_target": _with(
             [sales, FACT_TARGET],
-            f"""SELECT YearMonth, Channel, Orders, Items, Revenue, {_ratio("Revenue", "Orders")} AS AOV,
+            f"""SELECT YearMonth, Channel, coalesce(Orders, 0) AS Orders, CAST(coalesce(Items, 0) AS BIGINT) AS Items,
+  CAST(coalesce(Revenue, 0) AS DECIMAL(38,4)) AS Revenue, {_ratio("Revenue", "Orders")} AS AOV,
   {_ratio("Items", "Orders")} AS ItemsPerOrder, TargetAOV, TargetOrders, TargetItems,
-  {_pct("CAST(Revenue AS DOUBLE) / Orders", "TargetAOV")} AS AOV_Pct, {_pct("Orders", "TargetOrders")} AS Orders_Pct,
-  {_pct("Items", "TargetItems")} AS Items_Pct
+  {_pct("CAST(Revenue AS DOUBLE) / nullif(Orders, 0)", "TargetAOV")} AS AOV_Pct, {_pct("coalesce(Orders, 0)", "TargetOrders")} AS Orders_Pct,
+  {_pct("coalesce(Items, 0)", "TargetItems")} AS Items_Pct
 FROM (SELECT DateKey // 100 AS YearMonth, Channel, count(DISTINCT OrderID) AS Orders, CAST(sum(Quantity) AS BIGINT) AS Items,
     CAST(coalesce(sum(NetRevenue), 0) AS DECIMAL(38,4)) AS Revenue FROM fact_sales WHERE IsSuccess GROUP BY 1, 2)
-LEFT JOIN (SELECT DateKey // 100 AS YearMonth, Channel, max(TargetAOV) AS TargetAOV,
+FULL JOIN (SELECT DateKey // 100 AS YearMonth, Channel, max(TargetAOV) AS TargetAOV,
     CAST(sum(TargetOrders) AS BIGINT) AS TargetOrders, CAST(sum(TargetItems) AS BIGINT) AS TargetItems
-  FROM fact_target WHERE TargetAOV IS NOT NULL GROUP BY 1, 2) USING (YearMonth, Channel)""",
+  FROM fact_target WHERE TargetAOV IS NOT NULL OR TargetOrders IS NOT NULL OR TargetItems IS NOT NULL GROUP BY 1, 2) USING (YearMonth, Channel)""",
         ),
         "mtd_ytd_daily": _with(
             [sales, DIM_DATE, _DAILY],
@@ -497,7 +513,7 @@ FROM monthly m LEFT JOIN monthly b ON b.YearMonth = m.YearMonth - 100""",
             _shared(
                 """SELECT IsWorkingDay, IsHoliday, count(DISTINCT DateKey) AS SalesDays, count(*) AS OrderLines,
   CAST(coalesce(sum(NetRevenue), 0) AS DECIMAL(38,4)) AS Revenue
-FROM fact_sales JOIN dim_date USING (DateKey) WHERE IsSuccess GROUP BY 1, 2"""
+FROM fact_sales LEFT JOIN dim_date USING (DateKey) WHERE IsSuccess GROUP BY 1, 2"""
             ),
         ),
         "gender_share": _with(

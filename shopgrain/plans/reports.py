@@ -95,6 +95,31 @@ def channel_share(model: RetailModel) -> DataFrame:
     return revenue.withColumn("Share_Pct", _share())
 
 
+def channel_group_share(model: RetailModel) -> DataFrame:
+    """Completed revenue per group of channels with completed sales, and its share."""
+    revenue = _completed(model.fact_sales).groupBy("ChannelGroup").agg(m.revenue().alias("Revenue"))
+    return revenue.withColumn("Share_Pct", _share())
+
+
+def overall_success(model: RetailModel) -> DataFrame:
+    """Success rate of all orders, and of all lines."""
+    orders = model.fact_sales.groupBy("OrderID").agg(
+        F.max("IsSuccess").alias("success"), m.lines().alias("lines"), m.success_lines().alias("success_lines")
+    )
+    totals = orders.agg(
+        F.count("OrderID").alias("Orders"),
+        _count(F.col("success") & F.col("OrderID").isNotNull()).alias("SuccessOrders"),
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("OrderLines"),
+        F.coalesce(F.sum("success_lines"), F.lit(0)).alias("SuccessLines"),
+    )
+    return totals.withColumns(
+        {
+            "SuccessRate_Pct": m.percent(F.col("SuccessOrders"), F.col("Orders")),
+            "LineSuccessRate_Pct": m.percent(F.col("SuccessLines"), F.col("OrderLines")),
+        }
+    )
+
+
 def platform_fee_rate(model: RetailModel) -> DataFrame:
     """Platform fees as a share of gross value."""
     fees = model.fact_sales.groupBy("Channel", "Platform").agg(
@@ -139,7 +164,7 @@ def order_quality(model: RetailModel) -> DataFrame:
     """Success, cancellation and return rates of orders, and of lines.
 
     Lines are folded to orders first, so one shuffle serves all three distinct
-    counts.
+    counts. Lines without an order id count as lines, but as no order.
     """
     orders = model.fact_sales.groupBy("Channel", "Platform", "OrderID").agg(
         F.max("IsSuccess").alias("success"),
@@ -149,10 +174,11 @@ def order_quality(model: RetailModel) -> DataFrame:
         m.success_lines().alias("success_lines"),
     )
     counts = orders.groupBy("Channel", "Platform").agg(
-        _count().alias("Orders"),
-        _count(F.col("success")).alias("SuccessOrders"),
-        _count(F.col("cancelled")).alias("CancelledOrders"),
-        _count(F.col("returned")).alias("ReturnedOrders"),
+        F.count("OrderID").alias("Orders"),
+        *(
+            _count(F.col(flag) & F.col("OrderID").isNotNull()).alias(name)
+            for flag, name in (("success", "SuccessOrders"), ("cancelled", "CancelledOrders"), ("returned", "ReturnedOrders"))
+        ),
         F.sum("lines").alias("OrderLines"),
         F.sum("success_lines").alias("SuccessLines"),
     )
@@ -299,6 +325,11 @@ def region_achievement(model: RetailModel) -> DataFrame:
     return _achievement(_store_targets(model, "RegionName"), "RegionName")
 
 
+def region_month_achievement(model: RetailModel) -> DataFrame:
+    """Store targets and revenue per region and month."""
+    return _achievement(_store_targets(model, "RegionName"), "YearMonth", "RegionName")
+
+
 def manager_vs_target(model: RetailModel) -> DataFrame:
     return _achievement(_store_targets(model, "AM_Name"), "YearMonth", "AM_Name")
 
@@ -306,7 +337,12 @@ def manager_vs_target(model: RetailModel) -> DataFrame:
 def store_vs_target(model: RetailModel) -> DataFrame:
     """Target and revenue per store and month, ranked by revenue within the month."""
     stores = _achievement(_store_targets(model), "YearMonth", "StoreID")
-    return rank.add_rank(stores, "Revenue_Rank", "YearMonth", "Actual", "StoreID")
+    return rank.add_rank(stores, "Revenue_Rank", ["YearMonth"], "Actual", "StoreID")
+
+
+def store_ranking(model: RetailModel) -> DataFrame:
+    """Target and revenue per store over the whole period, ranked by revenue."""
+    return rank.add_rank(_achievement(_store_targets(model), "StoreID"), "Revenue_Rank", [], "Actual", "StoreID")
 
 
 def target_fanout_demo(model: RetailModel) -> DataFrame:
@@ -342,7 +378,9 @@ def target_fanout_demo(model: RetailModel) -> DataFrame:
 def aov_vs_target(model: RetailModel) -> DataFrame:
     """Orders, order value and items per order by month and channel, against targets.
 
-    Only telesales has targets for these; other channels show none.
+    Only telesales has targets for these; other channels show none. The three targets
+    stand apart: one that cannot be read leaves the others. A month with a target and
+    no sales shows zeros. Lines without an order id add to items and revenue alone.
     """
     keys = ["YearMonth", "Channel"]
     month = key_month(F.col("DateKey")).alias("YearMonth")
@@ -352,7 +390,9 @@ def aov_vs_target(model: RetailModel) -> DataFrame:
         .agg(m.units().alias("items"), m.revenue().alias("revenue"))
     )
     actual = orders.groupBy(*keys).agg(
-        _count().alias("Orders"), F.sum("items").alias("Items"), F.sum("revenue").cast(AMOUNT).alias("Revenue")
+        F.count("OrderID").alias("Orders"),
+        F.sum("items").alias("Items"),
+        F.sum("revenue").cast(AMOUNT).alias("Revenue"),
     )
     goals = (
         model.fact_target.groupBy(month, "Channel")
@@ -361,10 +401,17 @@ def aov_vs_target(model: RetailModel) -> DataFrame:
             F.sum("TargetOrders").alias("TargetOrders"),
             F.sum("TargetItems").alias("TargetItems"),
         )
-        .filter(F.col("TargetAOV").isNotNull())
+        .filter(F.coalesce("TargetAOV", "TargetOrders", "TargetItems").isNotNull())
     )
     c = F.col
-    return actual.join(goals, keys, "left").select(
+    compared = actual.join(goals, keys, "full").withColumns(
+        {
+            "Orders": F.coalesce("Orders", F.lit(0)),
+            "Items": F.coalesce("Items", F.lit(0)),
+            "Revenue": _amount(c("Revenue")),
+        }
+    )
+    return compared.select(
         *keys,
         "Orders",
         "Items",
@@ -374,7 +421,7 @@ def aov_vs_target(model: RetailModel) -> DataFrame:
         "TargetAOV",
         "TargetOrders",
         "TargetItems",
-        m.percent(c("Revenue").cast("double") / c("Orders"), c("TargetAOV")).alias("AOV_Pct"),
+        m.percent(F.try_divide(c("Revenue").cast("double"), c("Orders")), c("TargetAOV")).alias("AOV_Pct"),
         m.percent(c("Orders"), c("TargetOrders")).alias("Orders_Pct"),
         m.percent(c("Items"), c("TargetItems")).alias("Items_Pct"),
     )
@@ -392,15 +439,18 @@ def yoy_monthly(model: RetailModel) -> DataFrame:
 
 
 def workday_split(model: RetailModel) -> DataFrame:
-    """Completed revenue on working days, other days and holidays."""
+    """Completed revenue on working days, other days and holidays.
+
+    Lines without a date, or with one outside the calendar, are of unknown days.
+    """
     per_day = _completed(model.fact_sales).groupBy("DateKey").agg(
         m.lines().alias("lines"), m.revenue().alias("revenue")
     )
     split = (
-        per_day.join(model.dim_date.select("DateKey", "IsWorkingDay", "IsHoliday"), "DateKey")
+        per_day.join(model.dim_date.select("DateKey", "IsWorkingDay", "IsHoliday"), "DateKey", "left")
         .groupBy("IsWorkingDay", "IsHoliday")
         .agg(
-            _count().alias("SalesDays"),
+            F.count("DateKey").alias("SalesDays"),
             F.sum("lines").alias("OrderLines"),
             F.sum("revenue").cast(AMOUNT).alias("Revenue"),
         )
@@ -433,14 +483,21 @@ def at_risk_customers(model: RetailModel) -> DataFrame:
 
 def star_sales(model: RetailModel) -> DataFrame:
     """Completed sales by attributes of all five dimensions."""
-    facts = _completed(model.fact_sales).select(
-        "OrderID", "LineID", "Quantity", "NetRevenue", *[key for key, _ in SALES_RELATIONSHIPS.values()]
+    keys = [key for key, _ in SALES_RELATIONSHIPS.values()]
+    facts = (
+        _completed(model.fact_sales)
+        .groupBy(*keys)
+        .agg(_count().alias("lines"), m.units().alias("units"), F.sum("NetRevenue").alias("revenue"))
     )
     dims = {name: getattr(model, name) for name in SALES_RELATIONSHIPS}
     return (
-        star_join(facts, dims, SALES_RELATIONSHIPS, ["OrderID", "LineID"])
+        star_join(facts, dims, SALES_RELATIONSHIPS, keys)
         .groupBy("YearQuarter", "CategoryName", "RegionName", "EmployeeRole", "CustomerGender")
-        .agg(_count().alias("OrderLines"), m.units().alias("Units"), F.sum("NetRevenue").cast(AMOUNT).alias("Revenue"))
+        .agg(
+            F.sum("lines").alias("OrderLines"),
+            F.sum("units").alias("Units"),
+            F.sum("revenue").cast(AMOUNT).alias("Revenue"),
+        )
     )
 
 

@@ -18,6 +18,12 @@ SETTINGS = {
 }
 
 
+def apply(spark: SparkSession) -> None:
+    """The settings on a session that is already there."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+
+
 def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)

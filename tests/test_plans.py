@@ -7,9 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from shopgrain.operators import rfm
-from shopgrain.plans import reports
+from shopgrain.plans import catalog, reports
 from shopgrain.plans.model import RetailModel
 from shopgrain.sources.tables import read_sales, write_sales
 
@@ -51,16 +50,42 @@ def test_orders_and_lines_are_never_broadcast(model):
 
 
 def test_no_cartesian_products(spark, folder):
-    for name, query in entry_points.queries().items():
+    for name, query in catalog.queries().items():
         plan = plan_of(query(spark, folder))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
-def test_customers_never_meet_in_one_task(model):
-    scored = rfm.score(rfm.customer_base(model.fact_sales, model.dim_date), buckets=8)
+def test_customers_never_meet_in_one_task(spark, monkeypatch):
+    """The frames that are numbered: each by bucket, none by a window over all rows."""
+    seen = []
+    collect = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda self: seen.append(plan_of(self)) or collect(self))
+    base = spark.range(4000).selectExpr(
+        "string(id) AS CustomerID", "int(id % 90) AS Recency_Days", "id % 7 AS Frequency", "id * 1.0 AS Monetary"
+    )
+    scored = rfm.score(base)
+    windows = [p for p in seen if "Window" in p]
+    assert windows
+    for plan in windows:
+        assert not re.search(r"Window \[row_number\(\) windowspecdefinition\(position", plan)
+        assert "SinglePartition" not in plan
     assert "SinglePartition" not in plan_of(scored) and "Exchange" not in plan_of(scored)
 
 
+@pytest.mark.parametrize("report", [reports.store_vs_target, reports.star_sales, reports.star_target, reports.store_ranking])
+def test_reports_are_built_without_a_job_over_the_fact(spark, folder, report):
+    """Building a report runs nothing but the bounds of the calendar."""
+    model = RetailModel.of_driver_tables(spark, folder)
+    model.dim_date, model.fact_target  # noqa: B018  the calendar asks for the order dates once
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        report(model)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 2
+
+
 def test_reports_join_products_to_sums(model):
     plan = plan_of(reports.category_mix(model))
     # The fact is aggregated by SKU below the join with the product dimension.

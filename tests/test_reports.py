@@ -46,7 +46,7 @@ def test_dimensions_keep_their_key_unique(model, dim, key):
 
 def test_shares_add_up_to_all_revenue(model):
     revenue = reports.total_revenue(model).first()["Revenue"]
-    for report in (reports.channel_share, reports.region_share, reports.ownership_share):
+    for report in (reports.channel_share, reports.channel_group_share, reports.region_share, reports.ownership_share):
         frame = report(model)
         assert total(frame, "Revenue") == revenue
         assert total(frame, "Share_Pct") == pytest.approx(100, abs=1e-4)
@@ -98,6 +98,47 @@ def test_order_quality(raw_model):
     assert (store["Orders"], store["OrderLines"], store["SuccessLines"]) == (6, 7, 3)
 
 
+class OwnFacts:
+    """A model with facts of its own."""
+
+    def __init__(self, model, **frames):
+        self.model, self.frames = model, frames
+
+    def __getattr__(self, name):
+        return self.frames.get(name) if name in self.frames else getattr(self.model, name)
+
+
+def test_lines_without_an_order_id_are_no_order(spark, raw_model):
+    blank = F.when(F.col("Channel") != "Lazada", F.col("OrderID"))
+    own = OwnFacts(raw_model, fact_sales=raw_model.fact_sales.withColumn("OrderID", blank))
+    quality = {r["Channel"]: r for r in reports.order_quality(own).collect()}
+    breakdown = {r["Channel"]: r["Orders"] for r in reports.channel_breakdown(own).collect()}
+    assert {c: r["Orders"] for c, r in quality.items()} == breakdown
+    assert (breakdown["Lazada"], quality["Lazada"]["SuccessOrders"], quality["Lazada"]["OrderLines"]) == (0, 0, 5)
+    values = {(r["YearMonth"], r["Channel"]): r for r in reports.aov_vs_target(own).collect()}
+    assert all(r["Orders"] == 0 and r["AOV"] is None and r["Items"] > 0 for (_, c), r in values.items() if c == "Lazada")
+    (overall,) = reports.overall_success(own).collect()
+    assert overall["Orders"] == reports.total_revenue(own).first()["Orders"]
+
+
+def test_targets_stand_apart(spark, model):
+    unread = model.fact_target.withColumn("TargetAOV", F.lit(None).cast("decimal(18,2)"))
+    before = reports.aov_vs_target(model)
+    after = reports.aov_vs_target(OwnFacts(model, fact_target=unread))
+    for target in ("TargetOrders", "TargetItems"):
+        assert total(after, target) == total(before, target) > 0
+    assert after.filter("TargetAOV IS NOT NULL").isEmpty()
+    no_sales = OwnFacts(model, fact_sales=model.fact_sales.limit(0))
+    rows = reports.aov_vs_target(no_sales).collect()
+    assert rows and all((r["Orders"], r["Items"], r["Revenue"]) == (0, 0, 0) for r in rows)
+
+
+def test_days_off_the_calendar_stay(raw_model):
+    split = reports.workday_split(raw_model)
+    assert total(split, "Revenue") == reports.total_revenue(raw_model).first()["Revenue"]
+    assert total(split, "Share_Pct") == pytest.approx(100, abs=1e-4)
+
+
 def test_year_on_year_is_null_without_a_base(raw_model):
     assert all(r["YoY_Pct"] is None for r in reports.yoy_monthly(raw_model).collect())
 
