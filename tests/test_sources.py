@@ -4,7 +4,7 @@ import pytest
 
 from shopgrain.plans.model import RetailModel
 from shopgrain.sources.contract import RAW, contract_columns, raw_schema
-from shopgrain.sources.tables import JdbcSource, JdbcSplit, as_raw, read_files
+from shopgrain.sources.tables import JdbcSource, JdbcSplit, as_raw, read_files, read_sales, write_sales
 
 from . import raw_tables
 
@@ -50,6 +50,22 @@ def test_jdbc_options_split_large_tables():
     assert (options["partitionColumn"], options["upperBound"], options["numPartitions"]) == ("ID", "1000", "16")
 
 
+def test_an_order_table_is_never_read_in_one_piece():
+    with pytest.raises(ValueError, match="splits"):
+        JdbcSource("jdbc:x").options("rms.E01OrderItems")
+
+
+def test_writing_a_month_leaves_the_others(spark, model, tmp_path):
+    path = str(tmp_path / "sales")
+    sales = model.fact_sales
+    write_sales(sales, path)
+    month = sales.filter("DateKey DIV 100 = 199701")
+    write_sales(month.limit(1), path)
+    stored = read_sales(spark, path)
+    assert stored.filter("YearMonth = 199701").count() == 1
+    assert stored.count() == sales.count() - month.count() + 1
+
+
 def test_a_name_outside_the_contract_is_refused(spark):
     with pytest.raises(ValueError, match="Colour"):
         contract_columns("dim_product", {"Colour": "red"})
