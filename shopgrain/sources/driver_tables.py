@@ -21,6 +21,7 @@ from ..functions import vocabulary as words
 from ..functions.clean import MONEY, date_key
 from ..operators.dims import build_calendar
 from ..operators.sales import Raw, TaggedColumns, conform_tagged, tagged_columns
+from .contract import raw_schema
 
 # Which orders belong to which feed.
 PRIORITY_OF_FEED = {
@@ -161,6 +162,7 @@ def fixed_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame
     return spark.sql(f"SELECT {typed} FROM VALUES {values} AS fixed({', '.join(fields.names)})")
 
 
+# Raw columns that hold dates, and below the raw columns of each feed.
 DATE_COLUMNS = frozenset(
     {
         "DocDate", "CreateDate", "SuccessDate", "createTime", "deliveredDate", "NgayDatHang",
@@ -277,14 +279,30 @@ def _tagged_columns() -> TaggedColumns:
     return tagged_columns(F.col("feed"), [(feed, raws[feed]) for feed in words.FEEDS])
 
 
-_schemas: dict[str, T.StructType] = {}
+def as_text(column: Column, kind: T.DataType) -> Column:
+    """A value as a source would write it: dates in three forms, numbers with blanks.
 
-
-def _schema_of(spark: SparkSession, path: str) -> T.StructType:
-    """The schema of a file, looked up once; each look is a job of its own."""
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return _schemas[path]
+    The form follows from the value, so a row that is made again is the same. Absent
+    dates are empty, absent numbers a word.
+    """
+    form = F.pmod(F.xxhash64(column), F.lit(3))
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        forms = [F.date_format(column, f) for f in ("yyyyMMdd", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd")]
+        return F.coalesce(F.when(form == 0, forms[0]).when(form == 1, forms[1]).otherwise(forms[2]), F.lit(""))
+    plain = F.regexp_replace(column.cast("string"), r"\.0+$", "")  # whole numbers without decimals
+    return F.coalesce(F.when(form == 0, F.concat(F.lit(" "), plain, F.lit("  "))).otherwise(plain), F.lit("n/a"))
+
+
+def as_declared(frame: DataFrame, name: str) -> DataFrame:
+    """A raw table in its declared types; what is declared as text and is none becomes dirty text."""
+    columns = []
+    for field in raw_schema(name):
+        kind, column = frame.schema[field.name].dataType, F.col(field.name)
+        typed_text = isinstance(field.dataType, T.StringType) and isinstance(
+            kind, (T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
+        )
+        columns.append((as_text(column, kind) if typed_text else column.cast(field.dataType)).alias(field.name))
+    return frame.select(*columns)
 
 
 class DriverTables:
@@ -292,10 +310,13 @@ class DriverTables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._schemas: dict[str, T.StructType] = {}
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
-        return self.spark.read.schema(_schema_of(self.spark, path)).parquet(path)
+        if name not in self._schemas:  # each look at a file is a job of its own
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     @cached_property
     def day_range(self) -> tuple:
@@ -342,7 +363,7 @@ class DriverTables:
     # -- raw tables, one by one ---------------------------------------------------
 
     def raw(self, name: str) -> DataFrame:
-        return getattr(self, "_" + name.replace(".", "_"))()
+        return as_declared(getattr(self, "_" + name.replace(".", "_"))(), name)
 
     def _lines_of(self, feed: str) -> DataFrame:
         lines = self._orders_of(feed).join(self._items().hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))

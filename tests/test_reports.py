@@ -11,6 +11,8 @@ from shopgrain.functions import vocabulary as words
 from shopgrain.operators.star import duplicate_keys
 from shopgrain.plans import catalog, reports
 from shopgrain.plans.model import RetailModel
+from shopgrain.sources.contract import RAW, raw_schema
+from shopgrain.sources.driver_tables import DriverTables
 
 from . import raw_tables
 
@@ -30,6 +32,15 @@ def test_one_pass_equals_stacked_feeds(model):
     assert one_pass.exceptAll(stacked).isEmpty() and stacked.exceptAll(one_pass).isEmpty()
 
 
+def test_derived_raw_tables_have_their_declared_types(spark, folder):
+    source = DriverTables(spark, folder)
+    for name in RAW:
+        assert source.raw(name).schema.simpleString() == raw_schema(name).simpleString(), name
+    dates = source.raw("ecom.E01TikiOrders").select("NgayDat", "DoanhThu").collect()
+    assert {len(r["NgayDat"]) for r in dates} == {8, 10, 23}
+    assert any(r["DoanhThu"] != r["DoanhThu"].strip() for r in dates)
+
+
 @pytest.mark.parametrize(
     ("dim", "key"),
     [
