@@ -367,7 +367,8 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     sketches = classes.select("cls", "n", "registers")
     shared = _shared_bands(sketches)
     smalls = sketches.mapInArrow(_small, "cls long, n long, small binary")
-    sides = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    side = lambda pairs, name: pairs.select(F.col(name).alias("id")).distinct()
+    sides = lambda pairs: side(pairs, "a").unionByName(side(pairs, "b")).distinct()
 
     first = settled(_first_pairs(shared, smalls))
     links = settled(_confirmed(first, _texts_of(texts, sides(first))))

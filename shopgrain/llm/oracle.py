@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .license_scan import CUE, PARAGRAPH, SENTENCE, THRESHOLD
 from .license_templates import TOKEN, inverse_frequencies, vectors
+from .url_graph import DAMPING, ROUNDS, RULES, SEED_SHARE
 
 OP1 = r"""
 WITH d AS (
@@ -69,6 +70,34 @@ FROM b
 """
 
 
+OP8 = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT k, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle
+  FROM w
+), n AS (
+  SELECT k, count(*) AS n FROM s GROUP BY k
+), links AS (
+  SELECT p.a, p.b FROM (
+    SELECT x.k AS a, y.k AS b, count(*) AS shared FROM s x JOIN s y ON x.shingle = y.shingle AND x.k < y.k GROUP BY 1, 2
+  ) p JOIN n na ON na.k = p.a JOIN n nb ON nb.k = p.b WHERE 100 * shared >= 75 * (na.n + nb.n - shared)
+), ties AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach(k, r) AS (
+  SELECT k, k FROM w UNION SELECT reach.k, ties.b FROM reach JOIN ties ON reach.r = ties.a
+), c AS (
+  SELECT reach.k, min(t.doc_id) AS component_id FROM reach JOIN w t ON t.k = reach.r GROUP BY 1
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM w JOIN c USING (k) LEFT JOIN n USING (k)
+"""
+
+
 def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else repr(v) for v in r) + ")" for r in rows)
 
@@ -110,5 +139,65 @@ FROM d LEFT JOIN own USING (doc_id)
 """
 
 
+def _rounds(kind: str, seed: str, source: str, target: str) -> str:
+    """Rounds of PageRank as successive tables; the last one is scaled to sum to one."""
+    share = f"SELECT {source} AS h, {target} AS t, links / sum(links) OVER (PARTITION BY {source}) AS share FROM edges"
+    parts = [
+        f"{kind}_shares AS MATERIALIZED ({share})",
+        f"{kind}0 AS MATERIALIZED (SELECT host AS h, 1.0::DOUBLE / count(*) OVER () AS r FROM hosts WHERE {seed} > {SEED_SHARE} * n)",
+    ]
+    for i in range(1, ROUNDS + 1):
+        parts.append(
+            f"""{kind}{i} AS MATERIALIZED (SELECT h, sum(r) AS r FROM (
+      SELECT h, {1 - DAMPING} * r AS r FROM {kind}0
+      UNION ALL SELECT t, {DAMPING} * r * share FROM {kind}{i - 1} JOIN {kind}_shares USING (h)) GROUP BY h)"""
+        )
+    parts.append(f"{kind} AS (SELECT h AS host, r / sum(r) OVER () AS rank FROM {kind}{ROUNDS})")
+    return ",\n".join(parts)
+
+
+_RULES = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in RULES)
+
+OP5 = rf"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {_RULES}),
+p AS (
+  SELECT row_number() OVER () AS k, page_id, html, regexp_matches(coalesce(url, ''), '://') AS found,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', ['host', 'path']) AS u
+  FROM pages
+), h AS (
+  SELECT k, page_id, html, translate(u.host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, u.path AS path FROM p
+), ruled AS (
+  SELECT h.*, rule_host || rule_path AS rule, rule_verdict AS verdict FROM h LEFT JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY length(rule) DESC) = 1
+), hosts AS MATERIALIZED (
+  SELECT host, count(*) AS n, count(*) FILTER (WHERE verdict = 'allow') AS allowed,
+         count(*) FILTER (WHERE verdict = 'block') AS blocked FROM ruled WHERE host <> '' GROUP BY host
+), links AS (
+  SELECT host AS a, translate(unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)', 1)),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS b
+  FROM ruled WHERE host <> ''
+), edges AS MATERIALIZED (
+  SELECT a, b, count(*)::DOUBLE AS links FROM links WHERE a <> b GROUP BY 1, 2
+),
+{_rounds("trust", "allowed", "a", "b")},
+{_rounds("distrust", "blocked", "b", "a")},
+known AS (
+  SELECT count(*) AS n FROM (SELECT host FROM hosts UNION SELECT b FROM edges)
+)
+SELECT page_id, host, path, rule, coalesce(verdict,
+  CASE WHEN coalesce(distrust.rank, 0) > coalesce(trust.rank, 0) AND coalesce(distrust.rank, 0) * known.n >= 1
+       THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN trust USING (host) LEFT JOIN distrust USING (host), known
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op2_warc": OP2, "op3_quality_rules": OP3, "op10_license_scan": OP10}
+    return {
+        "op1_exact_dedup": OP1,
+        "op2_warc": OP2,
+        "op3_quality_rules": OP3,
+        "op5_url_filters": OP5,
+        "op8_minhash_near_dedup": OP8,
+        "op10_license_scan": OP10,
+    }

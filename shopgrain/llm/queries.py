@@ -45,7 +45,7 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
-    return url_graph.judged(table(spark, folder, "pages"))
+    return url_graph.judged(table(spark, folder, "pages")).drop("host_trust", "host_distrust")
 
 
 def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,10 +9,11 @@ import re
 from collections import Counter
 from html import unescape
 
+import duckdb
 import pytest
 import zstandard
 
-from shopgrain.llm import html_mincut, license_scan, url_graph, warc
+from shopgrain.llm import html_mincut, license_scan, oracle, url_graph, warc
 
 PAGES = [
     (1, "http://a.example.com/x", "<p>" + "same " * 50),
@@ -138,6 +139,9 @@ def test_url_verdicts(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = Counter(tuple(r[:5]) for r in url_graph.judged(df).collect())
     assert found == brute_urls(rows)
+    duck = duckdb.connect()
+    pages = df.toArrow()  # noqa: F841  read by name
+    assert Counter(duck.execute(oracle.OP5).fetchall()) == Counter((r[0], r[1], r[2], r[3], r[4]) for r in found.elements())
     assert any(rule is None and verdict == "block" for _, _, _, rule, verdict in found)
 
 
