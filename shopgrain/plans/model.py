@@ -18,11 +18,11 @@ RawTables = Callable[[str], DataFrame]
 class RetailModel:
     """Products as DataFrames, each built when first asked for.
 
-    `raw` gives a raw table by name. `sales` may replace the stacking of the five
-    feeds where their lines already lie together.
+    `raw` gives a raw table by name. `sales` may replace the stacking of feeds
+    where their lines already lie together; it takes the names of the feeds.
     """
 
-    def __init__(self, raw: RawTables, sales: Callable[[], DataFrame] | None = None):
+    def __init__(self, raw: RawTables, sales: Callable[..., DataFrame] | None = None):
         self._raw = raw
         self._sales = sales or self.stacked_sales
 
@@ -58,22 +58,25 @@ class RetailModel:
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return self._sales()
+        return self._sales(*words.FEEDS)
 
-    def stacked_sales(self) -> DataFrame:
-        """Sales from the five feeds, each read from its own raw tables."""
+    def sales_of(self, *feeds: str) -> DataFrame:
+        """The sales fact of some feeds; the others are not read."""
+        return self._sales(*feeds)
+
+    def stacked_sales(self, *feeds: str) -> DataFrame:
+        """Sales from feeds (all by default), each read from its own raw tables."""
         raw = self._raw
-        return union_feeds(
-            {
-                "store": store_feed(raw("rms.E01OrderHeader"), raw("rms.E01OrderItems"), raw("rms.E00Status")),
-                "telesales": telesales_feed(
-                    raw("gmc.E01OrderHeader"), raw("gmc.E01OrderItemsOnline"), raw("gmc.E00OrderStatus")
-                ),
-                "lazada": flat_feed(raw("ecom.E01LazadaOrders")),
-                "shopee": flat_feed(raw("ecom.E01ShopeeOrders")),
-                "tiki": flat_feed(raw("ecom.E01TikiOrders")),
-            }
-        )
+        build = {
+            "store": lambda: store_feed(*map(raw, ("rms.E01OrderHeader", "rms.E01OrderItems", "rms.E00Status"))),
+            "telesales": lambda: telesales_feed(
+                *map(raw, ("gmc.E01OrderHeader", "gmc.E01OrderItemsOnline", "gmc.E00OrderStatus"))
+            ),
+            "lazada": lambda: flat_feed(raw("ecom.E01LazadaOrders")),
+            "shopee": lambda: flat_feed(raw("ecom.E01ShopeeOrders")),
+            "tiki": lambda: flat_feed(raw("ecom.E01TikiOrders")),
+        }
+        return union_feeds({feed: build[feed]() for feed in feeds or words.FEEDS})
 
     @cached_property
     def fact_target(self) -> DataFrame:

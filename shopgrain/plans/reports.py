@@ -281,16 +281,16 @@ def _scope() -> Column:
     )
 
 
-def target_and_actual(model: RetailModel, *attributes: str) -> DataFrame:
+def target_and_actual(model: RetailModel, *attributes: str, sales: DataFrame | None = None) -> DataFrame:
     """Each target with the completed revenue of its scope and month.
 
     Sales are summed to the grain of the targets before they meet, so no target
-    is repeated by the sales that match it.
+    is repeated by the sales that match it. `sales` may hold some feeds only.
     """
     keys = ["YearMonth", "ChannelGroup", "Scope"]
     month = key_month(F.col("DateKey")).alias("YearMonth")
     actual = (
-        _completed(model.fact_sales)
+        _completed(model.fact_sales if sales is None else sales)
         .groupBy(month, "ChannelGroup", _scope().alias("Scope"))
         .agg(m.revenue().alias("Actual"))
     )
@@ -317,7 +317,7 @@ def overall_achievement(model: RetailModel) -> DataFrame:
 
 
 def _store_targets(model: RetailModel, *attributes: str) -> DataFrame:
-    rows = target_and_actual(model, *attributes)
+    rows = target_and_actual(model, *attributes, sales=model.sales_of("store"))
     return rows.filter(F.col("ChannelGroup") == words.CHANNEL_GROUP["store"]).withColumnRenamed("Scope", "StoreID")
 
 

@@ -338,10 +338,10 @@ class DriverTables:
 
     # -- all feeds in one pass ---------------------------------------------------
 
-    def sales(self) -> DataFrame:
-        """The unified sales fact from one scan of each table and one join."""
+    def sales(self, *feeds: str) -> DataFrame:
+        """The sales fact of feeds (all by default) from one scan of each table and one join."""
         return conform_tagged(
-            self._orders_of(*words.FEEDS),
+            self._orders_of(*(feeds or words.FEEDS)),
             self._items(),
             F.col("o_orderkey") == F.col("l_orderkey"),
             _tagged_columns(),

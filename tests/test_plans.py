@@ -45,6 +45,13 @@ def test_filters_reach_the_scan_of_orders(model):
     assert "status_code" in before_join or "o_orderstatus" in before_join
 
 
+@pytest.mark.parametrize("report", [reports.store_vs_target, reports.region_month_achievement, reports.manager_vs_target])
+def test_store_reports_read_store_orders_only(model, report):
+    plan = plan_of(report(model))
+    filters = re.findall(r"/orders\.parquet.*?PushedFilters: \[(.*?)\]", plan)
+    assert any("EqualTo(o_orderpriority,1-URGENT)" in f for f in filters) and not any("In(o_orderpriority" in f for f in filters)
+
+
 def test_orders_and_lines_are_never_broadcast(model):
     plan = plan_of(model.fact_sales)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
