@@ -45,7 +45,7 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Le
 LEAST_REVISITED = 100
 DATE = "1970-01-01T00:00:00Z"  # pages carry no date
 DICTIONARY_BYTES = 32 * 1024
-#: The dictionary is made from the starts of so many pages.
+#: The dictionary is made from the starts of about so many pages.
 SAMPLE_PAGES, SAMPLE_BYTES = 200, 8 * 1024
 
 RECORD = "page_id long, url string, record_type string, refers_to long, payload binary, payload_bytes long, payload_digest string"
@@ -194,12 +194,14 @@ def write(pages: DataFrame, folder: str, id_column: str = "page_id", url_column:
         .where("n > 1")
         .drop("n")
     )
+    # About SAMPLE_PAGES rows by hash, whatever the number of pages.
+    one_in = max(1, pages.count() // SAMPLE_PAGES)
     sample = (
-        rows.select("page_id", "url", "digest", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"))
-        .orderBy(F.xxhash64("digest"))
-        .limit(SAMPLE_PAGES)
+        rows.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(one_in)) == 0)
+        .select("page_id", "url", "digest", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"))
         .collect()
     )
+    sample.sort(key=lambda r: (r.digest, r.page_id is None, r.page_id))
     dictionary = dictionary_of([record(r.page_id, r.url, bytes(r.payload), r.digest, None) for r in sample])
     marked = through(rows, sieve(repeated, "digest"), "digest")
     maybe = F.col("_sieve_hit") & long_enough
