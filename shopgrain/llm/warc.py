@@ -194,10 +194,9 @@ def write(pages: DataFrame, folder: str, id_column: str = "page_id", url_column:
         .where("n > 1")
         .drop("n")
     )
-    # About SAMPLE_PAGES rows by hash, whatever the number of pages.
-    one_in = max(1, pages.count() // SAMPLE_PAGES)
+    # About SAMPLE_PAGES rows, whatever the number of pages and of copies.
     sample = (
-        rows.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(one_in)) == 0)
+        rows.sample(min(1.0, SAMPLE_PAGES / max(1, pages.count())), seed=7)
         .select("page_id", "url", "digest", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"))
         .collect()
     )
