@@ -9,6 +9,8 @@ import corpus_pipeline
 from shopgrain.llm import oracle, queries
 from shopgrain.llm.common import settled
 
+from .test_documents import brute_components, brute_groups, brute_quality
+
 
 def canonical(table):
     names = sorted(table.column_names)
@@ -49,6 +51,27 @@ def test_pipeline(spark, folder):
     assert whole.select(*pieces).exceptAll(last.select(*pieces)).count() == 0
 
 
+def test_pipeline_keeps_what_brute_force_keeps(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    rows = []
+    for r in docs:
+        n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat = brute_quality(r.text)
+        fails = (
+            n_words < 50
+            or 100 * n_repeat > 50 * n_words
+            or 10 * n_symbols > n_words
+            or 100 * n_dup_lines > 40 * n_lines
+            or not 3 * n_words <= word_chars <= 10 * n_words
+        )
+        if not fails:
+            rows.append((r.doc_id, r.text))
+    assert all(any(c.isalpha() for c in text) for _, text in rows)  # every language here is learned
+    texts = dict(rows)
+    rows = [(r[0], texts[r[0]]) for r in brute_groups(rows) if r[3]]
+    expected = {r[0] for r in brute_components(rows) if r[3]}
+    assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == expected
+
+
 def test_pipeline_takes_edge_cases(spark, edge, folder):
     docs = edge
     for _, stage in corpus_pipeline.STAGES[:-1]:
