@@ -206,24 +206,24 @@ def _first_pairs(shared: DataFrame, smalls: DataFrame) -> DataFrame:
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs between components within blocks, from rows in order of (band, low, high).
 
-    A pair comes out only in the first band that both sketches share.
+    A pair comes out only in the first band that both sketches share, in whole registers
+    as in the band's key: it is sure to meet there.
     """
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
     n_waiting = 0
     held: pa.Table | None = None
     columns = ["cls", "component", "n", "block", "number"]
 
-    def decided(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    def decided(table: pa.Table, registers: np.ndarray, small: np.ndarray) -> Iterator[pa.RecordBatch]:
         nonlocal n_waiting, waiting
         i, j = (np.concatenate(x) for x in zip(*waiting, strict=True))
         waiting, n_waiting = [], 0
-        small = _matrix(table.column("small").combine_chunks(), np.uint8, sketch.BUCKETS)
         n, cls = (table.column(c).to_numpy() for c in ("n", "cls"))
         may = sketch.may_link(small[i], small[j], n[i], n[j], PERCENT)
         i, j = i[may], j[may]
         if len(i):
-            a, b = (small[x][:, sketch.IN_BAND] for x in (i, j))
-            alike = (a == b).all(axis=2) & (a != 255).any(axis=2)
+            a, b = registers[i], registers[j]
+            alike = (a == b)[:, sketch.IN_BAND].all(axis=2) & (a != sketch.EMPTY)[:, sketch.IN_BAND].any(axis=2)
             first = alike.argmax(axis=1) >= table.column("number").to_numpy()[i]
             i, j = i[first], j[first]
         yield pa.RecordBatch.from_arrays(
@@ -235,6 +235,8 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = np.stack([table.column(c).to_numpy() for c in ("band", "low", "high")], axis=1)
         starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
         cls, component, n, block, _ = (table.column(c).to_numpy() for c in columns)
+        registers = _matrix(table.column("registers").combine_chunks(), np.uint16, sketch.BUCKETS)
+        whole = (table, registers, sketch.small(registers))
         for start, end in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=True):
             _, low, high = keys[start]
             rows = np.arange(start, end)
@@ -250,9 +252,9 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 waiting.append((i[differ], j[differ]))
                 n_waiting += int(differ.sum())
                 if n_waiting >= CHUNK_PAIRS:
-                    yield from decided(table)
+                    yield from decided(*whole)
         if waiting:
-            yield from decided(table)
+            yield from decided(*whole)
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -268,7 +270,7 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from groups(held.combine_chunks())
 
 
-def _other_pairs(shared: DataFrame, smalls: DataFrame, found: DataFrame) -> DataFrame:
+def _other_pairs(shared: DataFrame, sketches: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes that share a band key, are in different components of
     `found` and may link."""
     component = F.coalesce("component", "cls")
@@ -285,7 +287,7 @@ def _other_pairs(shared: DataFrame, smalls: DataFrame, found: DataFrame) -> Data
     )
     rows = (
         members.join(split, "band")
-        .join(smalls, "cls")
+        .join(sketches, "cls")
         .withColumn("number", F.pmod("packed", F.lit(sketch.BANDS)))
         .drop("packed")
         .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
@@ -372,7 +374,7 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     first = settled(_first_pairs(shared, smalls))
     links = settled(_confirmed(first, _texts_of(texts, sides(first))))
     found = components(links)
-    others = settled(_other_pairs(shared, smalls, found).join(first, ["a", "b"], "left_anti"))
+    others = settled(_other_pairs(shared, sketches, found).join(first, ["a", "b"], "left_anti"))
     more = _confirmed(others, _texts_of(texts, sides(others)))
     whole = components(links.unionByName(more))
 

@@ -255,6 +255,40 @@ def test_near_group_of_many_copies(spark, monkeypatch):
     assert sorted((tuple(r) for r in hyperminhash.groups(df).collect()), key=key) == brute_components(rows)
 
 
+def test_near_pair_with_an_earlier_band_alike_in_low_bits_only(spark):
+    """Texts that link, share no band before one that is alike in the low eight bits only,
+    and share each band with a smaller id too, which neither of them links with."""
+    sketch, rng = hyperminhash_sketch, np.random.default_rng(5)
+    windows = lambda words: [" ".join(words[i : i + 5]) for i in range(len(words) - 4)]
+    for _ in range(5000):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 1500)]
+        other = words.copy()
+        for at in rng.choice(1500, 36, replace=False):
+            other[int(at)] = f"x{int(rng.integers(0, 10**6))}"
+        sets = [sketch.shingles(" ".join(x).encode()) for x in (words, other)]
+        a, b = (sketch.registers(x)[sketch.IN_BAND] for x in sets)
+        alike = (a == b).all(axis=1) & (a != sketch.EMPTY).any(axis=1)
+        low = ((a & 0xFF) == (b & 0xFF)).all(axis=1) & (a != sketch.EMPTY).all(axis=1)
+        if alike.any() and low.argmax() < alike.argmax() and sketch.linked(*sets, 75):
+            break
+    else:
+        raise AssertionError("no such pair")
+    of = {}  # the window that each register stands for
+    for window in windows(words):
+        hashed = sketch.shingles(window.encode())
+        bucket = int(hashed[0] >> np.uint64(56))
+        if sketch.registers(hashed)[bucket] == sketch.registers(sets[0])[bucket]:
+            of[bucket] = window
+    rows = [(1001, " ".join(words)), (1002, " ".join(other))]
+    for n, band in enumerate(np.flatnonzero(alike)):
+        at = sketch.IN_BAND[band]
+        texts = (f" between{k} ".join(of[i] for i in at.tolist()) for k in range(1000))
+        rows.append((n, next(x for x in texts if (sketch.registers(sketch.shingles(x.encode()))[at] == a[band]).all())))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((tuple(r) for r in hyperminhash.groups(df).collect()), key=key)
+    assert found == brute_components(rows) and found[-1][2] == 1001
+
+
 def test_near_keeps_whole_rows(edge):
     kept = hyperminhash.deduplicated(edge)
     assert kept.columns == edge.columns
