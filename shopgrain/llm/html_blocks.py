@@ -7,12 +7,28 @@ from dataclasses import dataclass, field
 from html import unescape
 
 #: Words of HTML; fixed values.
-INLINE = frozenset(
+MATH = frozenset(
+    "math maction annotation menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+    "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder "
+    "munderover semantics".split()
+)
+INLINE = MATH | frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt "
     "ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|textarea|title|noscript|template|iframe|svg|math|select|button|head"
+#: Their text goes on to their end tag, whatever is in it, and is dropped.
+RAW = "script|style|textarea|title"
+#: Elements whose text is dropped; an unclosed one ends with its parent.
+DROPPED = frozenset("noscript template iframe svg select button head".split())
+#: Of these, the ones that stand within a line of text.
+IN_LINE = frozenset(("svg", "button"))
+#: Any other element in an open head ends the head, and these end an open svg.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript template".split())
+BREAKS_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 #: Elements that never hold article text, whatever is around them.
 NEVER = frozenset("nav footer aside form dialog menu fieldset legend".split())
 #: Words in class, id and role that mark boilerplate.
@@ -30,7 +46,7 @@ CONTENT_MARKERS = frozenset("article articlebody content entry main post story t
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{RAW})(?=[\s/>])(?P<rawattributes>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attributes>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-z][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -58,6 +74,7 @@ class Element:
     kind: int
     content: bool
     link: bool
+    drop: bool = False
 
 
 @dataclass(slots=True)
@@ -78,7 +95,22 @@ class _Walk:
     linked: int = 0
     elements: int = 0
 
+    def dropping(self) -> bool:
+        return bool(self.open) and self.open[-1].drop
+
+    def undrop(self) -> None:
+        """End the outermost element whose text is dropped, with all in it."""
+        del self.open[next(i for i, e in enumerate(self.open) if e.drop) :]
+
+    def foreign(self) -> bool:
+        """Whether an svg is open, in which elements close themselves."""
+        return self.dropping() and any(e.tag == "svg" for e in self.open)
+
     def text(self, raw: str) -> None:
+        if self.dropping():
+            if self.open[-1].tag != "head" or raw.isspace():
+                return
+            self.undrop()  # a head holds no text
         self.texts.append(raw)
         if self.open and self.open[-1].link:
             self.linked += len(raw)
@@ -88,8 +120,9 @@ class _Walk:
             return
         text = " ".join(unescape("".join(self.texts)).split())
         if text:
-            outer = [e for e in self.open if e.tag not in INLINE]
-            last = self.open[-1] if self.open else None
+            shown = [e for e in self.open if not e.drop]
+            outer = [e for e in shown if e.tag not in INLINE]
+            last = shown[-1] if shown else None
             self.blocks.append(
                 Block(
                     text,
@@ -102,7 +135,36 @@ class _Walk:
             )
         self.texts, self.linked = [], 0
 
+    def start_dropped(self, tag: str, attributes: str) -> bool:
+        """Whether the element belongs to what is dropped; else that has ended."""
+        top = self.open[-1].tag
+        if top == "head" and tag not in IN_HEAD:
+            self.undrop()
+            return False
+        if tag in BREAKS_SVG and self.foreign() and not any(e.tag in ("foreignobject", "desc") for e in self.open):
+            i = next(i for i, e in enumerate(self.open) if e.drop and e.tag == "svg")
+            del self.open[i:]
+            return self.dropping() and self.start_dropped(tag, attributes)
+        if tag in ("select", "button") and any(e.drop and e.tag == tag for e in self.open):
+            del self.open[next(i for i, e in enumerate(self.open) if e.drop and e.tag == tag) :]
+            if not self.dropping():
+                return False
+        empty = attributes.endswith("/") and (tag == "svg" or self.foreign())
+        if tag not in VOID and not empty:
+            self.open.append(Element(tag, 0, 0, False, False, True))
+        return True
+
     def start(self, tag: str, attributes: str) -> None:
+        if self.dropping() and self.start_dropped(tag, attributes):
+            return
+        if tag in DROPPED:
+            if tag not in IN_LINE:
+                self.flush()
+            if tag != "svg" or not attributes.endswith("/"):
+                self.open.append(Element(tag, 0, 0, False, False, True))
+            return
+        if tag in MATH and attributes.endswith("/"):
+            return
         inline = tag in INLINE
         if not inline:
             self.flush()
@@ -133,7 +195,17 @@ class _Walk:
         self.open.append(Element(tag, self.elements, kind, content, above.link or tag == "a"))
 
     def end(self, tag: str) -> None:
-        if tag not in INLINE:
+        if self.dropping():
+            for i in range(len(self.open) - 1, -1, -1):
+                if self.open[i].tag == tag:
+                    break
+            else:
+                return
+            if self.open[i].drop:
+                del self.open[i:]
+                return
+            self.undrop()  # it ends with its parent
+        if tag not in INLINE and tag not in IN_LINE:
             self.flush()
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i].tag == tag:
@@ -146,12 +218,14 @@ class _Walk:
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page, in order."""
     walk, at = _Walk(), 0
-    for token in TOKEN.finditer(html):
+    while token := TOKEN.search(html, at):
         if token.start() > at:
             walk.text(html[at : token.start()])
         at = token.end()
         if token["raw"]:
-            if token["raw"].lower() not in ("svg", "math", "button"):
+            if token["rawattributes"].endswith("/") and walk.foreign():
+                at = token.end("rawattributes") + 1
+            elif not walk.dropping():
                 walk.flush()
         elif token["tag"]:
             tag = token["tag"].lower()
@@ -159,6 +233,7 @@ def blocks(html: str) -> list[Block]:
                 walk.end(tag)
             else:
                 walk.start(tag, token["attributes"])
-    walk.text(html[at:])
+    if at < len(html):
+        walk.text(html[at:])
     walk.flush()
     return walk.blocks

@@ -188,6 +188,28 @@ def test_main_text_parts():
         assert html_mincut.main_text(nothing) in ("", "<")
 
 
+def test_main_text_goes_on_after_what_is_dropped():
+    first, last = "A long first sentence of the article, with many words in it, that stays.", "And a last one that stays as well, with as many words as the first one has."
+    whole = f"{first} {last}"
+    for page in (
+        f"<html><head><meta charset=x><body><article><p>{first}</p><p>{last}</p></article></body></html>",
+        f"<html><head><meta charset=x><article><p>{first}</p><p>{last}</p></article></html>",
+        f"<article><p>{first} <svg width='1' /> {last}</p></article>",
+        f"<article><p>{first} <svg><title/><style/><g><path d='M0'/></g></svg> {last}</p></article>",
+        f"<article><p>{first}</p><div><svg><path d='M0'></div><p>{last}</p></article>",
+        f"<article><p>{first}</p><svg><p>{last}</p></article>",
+        f"<article><p>{first}</p><svg-icon name=x></svg-icon><p>{last}</p></article>",
+        f"<article><p>{first}</p><button-bar></button-bar><p>{last}</p></article>",
+        f"<article><p>{first}</p><div><button>Click here</div><p>{last}</p></article>",
+        f"<article><p>{first}</p><div><select><option>one<option>two</div><p>{last}</p></article>",
+        f"<article><p>{first}</p><div><template><p>not this</div><p>{last}</p></article>",
+        f"<article><p>{first}</p><button>One<button>Two</button><noscript><p>no</p></noscript><p>{last}</p></article>",
+    ):
+        assert html_mincut.main_text(page) == whole, page
+    formula = f"<article><p>{first} Here <math><mi>x</mi><mspace/><mo>=</mo><mn>1</mn></math> holds. {last}</p></article>"
+    assert html_mincut.main_text(formula) == f"{first} Here x=1 holds. {last}"
+
+
 def test_main_text_edges(odd):
     rows = html_mincut.extracted(odd).collect()
     assert len(rows) == len(PAGES)
