@@ -270,3 +270,17 @@ def test_licences(spark):
         ]
     )
     assert license_scan.scanned(df.limit(0)).count() == 0
+
+
+def test_licence_notice_wrapped_over_lines(spark):
+    about = "It reads the logs of many machines and shows what has gone wrong on them. "
+    rows = [
+        (1, "a/x", about * 3 + "\nIt is released under the MIT\nLicense. " + about * 3),
+        (2, "a/y", "/* " + about * 3 + "\n *\n * Released under the BSD 3-Clause\n * License. " + about * 3 + "\n */"),
+        (3, "a/z", "# " + about * 3 + "\r\n# Released under the ISC\r\n# License. " + about * 3),
+        (4, "a/n", about * 3 + "\nIt needs no\nlicence to drive. " + about * 3),
+        (5, "a/o", "many words without an end\n" * 20_000 + "licence"),
+    ]
+    df = spark.createDataFrame(rows, "file_id long, path string, text string")
+    found = {r.file_id: r.licence for r in license_scan.scanned(df).collect()}
+    assert found == {1: "MIT", 2: "BSD-3-Clause", 3: "ISC", 4: None, 5: None}
