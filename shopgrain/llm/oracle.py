@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .license_scan import CUE, PARAGRAPH, SENTENCE, THRESHOLD
 from .license_templates import TOKEN, inverse_frequencies, vectors
+from .oracle_conversations import OP11, OP13
 from .url_graph import DAMPING, ROUNDS, RULES, SEED_SHARE
 
 OP1 = r"""
@@ -200,4 +201,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_url_filters": OP5,
         "op8_minhash_near_dedup": OP8,
         "op10_license_scan": OP10,
+        "op11_conversation_repair": OP11,
+        "op13_conversation_trie": OP13,
     }

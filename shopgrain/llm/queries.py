@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from . import (
+    conversation_repair,
     exact_dedup,
     html_mincut,
     hyperminhash,
     license_scan,
     packing,
+    prefix_trie,
     quality_rules,
     sentencepiece_bpe,
     string_kernel,
@@ -72,6 +74,15 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scanned(docs.select("doc_id", "text", path.alias("path")), "doc_id")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, folder, "conversations"))
+    return conversation_repair.repaired(rows, there=F.col("there"))
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(table(spark, folder, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -86,5 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_minhash_near_dedup,
             op9_best_fit_packing,
             op10_license_scan,
+            op11_conversation_repair,
+            op13_conversation_trie,
         )
     }

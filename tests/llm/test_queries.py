@@ -23,7 +23,7 @@ def canonical(table):
 @pytest.mark.parametrize("name", list(oracle.oracle_sql()))
 def test_query_equals_sql(spark, folder, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     found = canonical(queries.queries()[name](spark, folder).toArrow())
     expected = canonical(duck.execute(oracle.oracle_sql()[name]).to_arrow_table())
