@@ -20,6 +20,7 @@ from . import (
     quality_rules,
     sentencepiece_bpe,
     string_kernel,
+    toxicity_gru,
     url_graph,
     warc,
 )
@@ -79,6 +80,11 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.repaired(rows, there=F.col("there"))
 
 
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity_gru.scored(docs, toxicity_gru.train(docs, table(spark, folder, "labels")))
+
+
 def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.rebuilt(table(spark, folder, "conversations")))
 
@@ -98,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_best_fit_packing,
             op10_license_scan,
             op11_conversation_repair,
+            op12_toxicity,
             op13_conversation_trie,
         )
     }
