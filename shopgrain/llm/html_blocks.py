@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -66,45 +67,97 @@ CLOSES = {
 }
 
 
-@dataclass(slots=True)
+@dataclass(slots=True, eq=False)
 class Element:
     tag: str
-    place: int  # number of the element in the page
     #: 0 unknown, 1 article, 2 marked as boilerplate, 3 boilerplate whatever is inside
     kind: int
     content: bool
     link: bool
     drop: bool = False
+    #: The innermost element that is not within a line of text: this one or one around it.
+    outer: Element | None = None
+    #: Of such an element: the next one around it, and how many there are with it.
+    parent: Element | None = None
+    depth: int = 0
 
 
-@dataclass(slots=True)
+@dataclass(slots=True, eq=False)
 class Block:
     text: str
     tag: str
     kind: int
     content: bool
     linked: int  # characters in links
-    path: tuple[int, ...]  # places of the elements around it, outermost first
+    outer: Element | None  # the element around it that is not within a line of text
+
+    def parent(self) -> Element | None:
+        return self.outer.parent if self.outer else None
+
+
+def apart(a: Element | None, b: Element | None) -> int:
+    """Steps in the tree from one element to the other; None is the page."""
+    steps = 0
+    while a is not b:
+        if (a.depth if a else 0) >= (b.depth if b else 0):
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
 
 
 @dataclass
 class _Walk:
+    """Open elements, with the places of each tag among them, so that no step searches all."""
+
     blocks: list[Block] = field(default_factory=list)
     open: list[Element] = field(default_factory=list)
+    at: dict[str, list[int]] = field(default_factory=dict)
+    #: Places of elements that are not within a line, and of those that are no paragraph.
+    solid: list[int] = field(default_factory=list)
+    firm: list[int] = field(default_factory=list)
+    first_drop: int | None = None
     texts: list[str] = field(default_factory=list)
     linked: int = 0
-    elements: int = 0
+
+    def push(self, element: Element) -> None:
+        place, tag = len(self.open), element.tag
+        self.open.append(element)
+        self.at.setdefault(tag, []).append(place)
+        if tag not in INLINE:
+            self.solid.append(place)
+            if tag != "p":
+                self.firm.append(place)
+        if element.drop and self.first_drop is None:
+            self.first_drop = place
+
+    def close(self, place: int) -> None:
+        """End the element at this place, with all in it."""
+        for element in reversed(self.open[place:]):
+            self.at[element.tag].pop()
+        del self.open[place:]
+        for places in (self.solid, self.firm):
+            while places and places[-1] >= place:
+                places.pop()
+        if self.first_drop is not None and self.first_drop >= place:
+            self.first_drop = None
+
+    def last(self, tag: str) -> int:
+        """The place of the innermost open element of this tag, or -1."""
+        places = self.at.get(tag)
+        return places[-1] if places else -1
 
     def dropping(self) -> bool:
-        return bool(self.open) and self.open[-1].drop
+        return self.first_drop is not None
 
     def undrop(self) -> None:
         """End the outermost element whose text is dropped, with all in it."""
-        del self.open[next(i for i, e in enumerate(self.open) if e.drop) :]
+        self.close(self.first_drop)
 
     def foreign(self) -> bool:
         """Whether an svg is open, in which elements close themselves."""
-        return self.dropping() and any(e.tag == "svg" for e in self.open)
+        return self.dropping() and self.last("svg") >= 0
 
     def text(self, raw: str) -> None:
         if self.dropping():
@@ -120,17 +173,17 @@ class _Walk:
             return
         text = " ".join(unescape("".join(self.texts)).split())
         if text:
-            shown = [e for e in self.open if not e.drop]
-            outer = [e for e in shown if e.tag not in INLINE]
-            last = shown[-1] if shown else None
+            shown = len(self.open) if self.first_drop is None else self.first_drop
+            last = self.open[shown - 1] if shown else None
+            outer = last.outer if last else None
             self.blocks.append(
                 Block(
                     text,
-                    outer[-1].tag if outer else "",
+                    outer.tag if outer else "",
                     last.kind if last else 0,
                     bool(last and last.content),
                     min(self.linked, len(text)),
-                    tuple(e.place for e in outer),
+                    outer,
                 )
             )
         self.texts, self.linked = [], 0
@@ -141,19 +194,31 @@ class _Walk:
         if top == "head" and tag not in IN_HEAD:
             self.undrop()
             return False
-        if tag in BREAKS_SVG and self.foreign() and not any(e.tag in ("foreignobject", "desc") for e in self.open):
-            i = next(i for i, e in enumerate(self.open) if e.drop and e.tag == "svg")
-            del self.open[i:]
+        if tag in BREAKS_SVG and self.foreign() and self.last("foreignobject") < 0 and self.last("desc") < 0:
+            self.close(self.at["svg"][0])
             return self.dropping() and self.start_dropped(tag, attributes)
-        if tag in ("select", "button") and any(e.drop and e.tag == tag for e in self.open):
-            del self.open[next(i for i, e in enumerate(self.open) if e.drop and e.tag == tag) :]
+        if tag in ("select", "button") and self.last(tag) >= 0:
+            self.close(self.at[tag][0])
             if not self.dropping():
                 return False
         empty = attributes.endswith("/") and (tag == "svg" or self.foreign())
         if tag not in VOID and not empty:
-            self.open.append(Element(tag, 0, 0, False, False, True))
+            self.push(Element(tag, 0, False, False, True))
         return True
 
+    def end_siblings(self, tag: str) -> None:
+        """End paragraphs, and elements that one of this tag ends, up to a border."""
+        kinds, border = CLOSES.get(tag, ((), ()))
+        up_to = max(map(self.last, border)) if kinds else self.firm[-1] if self.firm else -1
+        found = len(self.open)
+        for kind in (*kinds, "p"):
+            places = self.at.get(kind, ())
+            first = bisect_right(places, up_to)
+            if first < len(places):
+                found = min(found, places[first])
+        if found < len(self.open):
+            self.close(found)
+
     def start(self, tag: str, attributes: str) -> None:
         if self.dropping() and self.start_dropped(tag, attributes):
             return
@@ -161,24 +226,17 @@ class _Walk:
             if tag not in IN_LINE:
                 self.flush()
             if tag != "svg" or not attributes.endswith("/"):
-                self.open.append(Element(tag, 0, 0, False, False, True))
+                self.push(Element(tag, 0, False, False, True))
             return
         if tag in MATH and attributes.endswith("/"):
             return
         inline = tag in INLINE
         if not inline:
             self.flush()
-            kinds, border = CLOSES.get(tag, ((), ()))
-            for i in range(len(self.open) - 1, -1, -1):
-                e = self.open[i]
-                if e.tag in kinds or e.tag == "p":
-                    del self.open[i:]
-                elif e.tag in border or (not kinds and e.tag not in INLINE):
-                    break
+            self.end_siblings(tag)
         if tag in VOID:
             return
-        self.elements += 1
-        above = self.open[-1] if self.open else Element("", 0, 0, False, False)
+        above = self.open[-1] if self.open else Element("", 0, False, False)
         kind, content = above.kind, above.content
         words: set[str] = set()
         if attributes and tag not in ("body", "html") and not attributes.isspace():
@@ -192,27 +250,25 @@ class _Walk:
             elif words & MARKERS or (attributes and HIDDEN.search(attributes)):
                 kind = 2
         content = content or tag in ("article", "main") or bool(words & CONTENT_MARKERS)
-        self.open.append(Element(tag, self.elements, kind, content, above.link or tag == "a"))
+        element = Element(tag, kind, content, above.link or tag == "a", outer=above.outer)
+        if not inline:
+            element.outer, element.parent = element, above.outer
+            element.depth = (above.outer.depth if above.outer else 0) + 1
+        self.push(element)
 
     def end(self, tag: str) -> None:
+        place = self.last(tag)
         if self.dropping():
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i].tag == tag:
-                    break
-            else:
+            if place < 0:
                 return
-            if self.open[i].drop:
-                del self.open[i:]
+            if self.open[place].drop:
+                self.close(place)
                 return
             self.undrop()  # it ends with its parent
         if tag not in INLINE and tag not in IN_LINE:
             self.flush()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            if tag in INLINE and self.open[i].tag not in INLINE:
-                return
+        if place >= 0 and (tag not in INLINE or not self.solid or place > self.solid[-1]):
+            self.close(place)
 
 
 def blocks(html: str) -> list[Block]:

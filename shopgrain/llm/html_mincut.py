@@ -8,8 +8,9 @@ by smoothness edges. The smallest cut separates content from boilerplate, so a d
 block goes with its surroundings.
 
 Blocks whose own cost outweighs all their edges are decided first, which leaves the
-smallest cut as it is; augmenting paths settle the others. The weights are fixed, as no
-table tells content from boilerplate.
+smallest cut as it is; a maximum flow, by blocking flows, settles the others. The weights
+are fixed, as no table tells content from boilerplate. Time and memory follow the length
+of the page, however deep its elements or long its lists are.
 
 Defined cases: null and empty html, and pages without content, give an empty text with
 n_chars 0; character references are decoded; white space in a block becomes one blank;
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .html_blocks import Block, blocks
+from .html_blocks import Block, Element, apart, blocks
 
 #: Weights of the classifier, in units of a doubtful block; positive is content.
 KIND_WEIGHT = {0: 0.0, 1: 4.0, 2: -5.0, 3: -8.0}
@@ -41,6 +42,8 @@ SENTENCE = 0.5
 #: Weights of the edges between neighbours, and between blocks of one parent.
 NEXT = 0.4
 SAME_PARENT = 0.6
+#: What is less than this does not flow.
+STILL = 1e-9
 
 
 def content_weight(block: Block) -> float:
@@ -63,19 +66,21 @@ def content_weight(block: Block) -> float:
 
 
 def edges(found: list[Block]) -> list[tuple[int, int, float]]:
-    """Smoothness: neighbours in the page, and successive blocks of one parent."""
+    """Smoothness: neighbours in the page, and successive blocks of one parent.
+
+    The way in the tree from one block to the next is made of elements that were opened or
+    closed between them, so all of them together are as long as the page.
+    """
     out = []
-    last_of: dict[tuple[int, ...], int] = {}
+    last_of: dict[Element | None, int] = {}
     for i, block in enumerate(found):
         if i:
-            other = found[i - 1].path
-            shared = sum(1 for a, b in zip(block.path, other, strict=False) if a == b)
-            apart = len(block.path) + len(other) - 2 * shared
-            out.append((i - 1, i, NEXT / (1 + apart)))
-        before = last_of.get(block.path[:-1])
+            out.append((i - 1, i, NEXT / (1 + apart(block.outer, found[i - 1].outer))))
+        parent = block.parent()
+        before = last_of.get(parent)
         if before is not None:
             out.append((before, i, SAME_PARENT))
-        last_of[block.path[:-1]] = i
+        last_of[parent] = i
     return out
 
 
@@ -99,38 +104,65 @@ def smallest_cut(weights: list[float], ties: list[tuple[int, int, float]]) -> li
                 del near[j][i]
                 check.append(j)
             near[i] = {}
-    if None not in side:
-        return side
-    # Augmenting paths, shortest first, over the blocks that are left.
-    source, sink = n, n + 1
-    room: list[dict[int, float]] = [dict(x) for x in near] + [{}, {}]
-    for i in range(n):
-        if side[i] is None:
-            if weights[i] > 0:
-                room[source][i] = weights[i]
-                room[i][source] = 0.0
-            else:
-                room[i][sink] = -weights[i]
-                room[sink][i] = 0.0
+    rest = [i for i in range(n) if side[i] is None]
+    if rest:
+        for i, inside in zip(rest, _reached(rest, weights, near), strict=True):
+            side[i] = inside
+    return side
+
+
+def _reached(rest: list[int], weights: list[float], room: list[dict[int, float]]) -> list[bool]:
+    """Which blocks the source still reaches when no more can flow: blocking flows over the
+    levels of a search from the source, shortest ways first. `room` is used up."""
+    supply = {i: weights[i] for i in rest if weights[i] > STILL}
+    demand = {i: -weights[i] for i in rest if weights[i] < -STILL}
     while True:
-        before = {source: source}
-        queue = deque([source])
-        while queue and sink not in before:
-            i = queue.popleft()
-            for j, r in room[i].items():
-                if r > 1e-9 and j not in before:
-                    before[j] = i
-                    queue.append(j)
-        if sink not in before:
-            return [i in before if s is None else s for i, s in enumerate(side)]
-        path, i = [], sink
-        while i != source:
-            path.append((before[i], i))
-            i = before[i]
-        flow = min(room[a][b] for a, b in path)
-        for a, b in path:
-            room[a][b] -= flow
-            room[b][a] = room[b].get(a, 0.0) + flow
+        level = dict.fromkeys(supply, 0)
+        layer, depth, ends = list(supply), 0, False
+        while layer and not ends:  # up to the first level where something can flow off
+            following = []
+            for i in layer:
+                ends = ends or i in demand
+                for j, r in room[i].items():
+                    if r > STILL and j not in level:
+                        level[j] = depth + 1
+                        following.append(j)
+            if not ends:
+                layer, depth = following, depth + 1
+        if not ends:
+            return [i in level for i in rest]
+        ways: dict[int, list[int]] = {}  # where a block's flow can go on, the present one last
+        for start in list(supply):
+            path = [start]
+            while path:
+                i = path[-1]
+                if level[i] == depth and i in demand:
+                    flow = min(supply[start], demand[i], *(room[x][y] for x, y in zip(path, path[1:], strict=False)))
+                    for left, at in ((supply, start), (demand, i)):
+                        left[at] -= flow
+                        if left[at] <= STILL:
+                            del left[at]
+                    keep = len(path)
+                    for k in range(len(path) - 2, -1, -1):
+                        x, y = path[k], path[k + 1]
+                        room[x][y] -= flow
+                        room[y][x] += flow
+                        if room[x][y] <= STILL:
+                            keep = k + 1
+                    if start not in supply:
+                        break
+                    del path[keep:]
+                    continue
+                if i not in ways:
+                    ways[i] = list(room[i]) if level[i] < depth else []
+                on = ways[i]
+                while on and (room[i][on[-1]] <= STILL or level.get(on[-1]) != level[i] + 1):
+                    on.pop()
+                if on:
+                    path.append(on[-1])
+                else:  # nothing flows on from here
+                    level[i] = -1
+                    path.pop()
 
 
 def main_text(html: str | None) -> str:

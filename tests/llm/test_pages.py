@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import time
+import tracemalloc
 import re
 from collections import Counter
 from html import unescape
@@ -233,6 +235,46 @@ def test_smallest_cut_is_smallest():
         assert cost(html_mincut.smallest_cut(weights, ties)) == pytest.approx(best)
 
 
+def test_smallest_cut_of_long_rows():
+    """Rows of blocks with ties to neighbours and to later ones, against a dynamic program."""
+    rng = random.Random(7)
+    for n in (50, 400, 3000):
+        weights = [rng.choice([-1, 1]) * rng.uniform(0, 0.6) for _ in range(n)]
+        ties = [(i, i + 1, rng.choice([0.1, 0.4, 1.0])) for i in range(n - 1)]
+        side = html_mincut.smallest_cut(weights, ties)
+        own = lambda i, s: max(-weights[i], 0) if s else max(weights[i], 0)  # noqa: B023, E731
+        best = [own(0, 0), own(0, 1)]
+        for i, (_, _, w) in enumerate(ties, start=1):
+            best = [own(i, s) + min(best[s], best[1 - s] + w) for s in (0, 1)]
+        cost = sum(own(i, s) for i, s in enumerate(side)) + sum(w for a, b, w in ties if side[a] != side[b])
+        assert cost == pytest.approx(min(best))
+
+
+LISTS = "".join(f"<li>{'a word or two ' * (3 + 4 * (i % 2))}{i}" for i in range(100_000))
+HUGE = {
+    "list": f"<body><ul>{LISTS}</ul></body>",
+    "open elements": "<body>" + "".join(f"<div>some text of block {i}." for i in range(100_000)),
+    "open spans": "<body>" + "".join(f"<b>some text<p>of block {i}." for i in range(100_000)),
+    "stray ends": "<body>" + "<div>" * 50_000 + "text </section></b>" * 100_000,
+    "dropped": "<body><svg>" + "<g>" * 50_000 + "text</path></b>" * 50_000 + "</svg>An end.",
+}
+
+
+@pytest.mark.parametrize("name", HUGE)
+def test_huge_pages_take_time_and_memory_in_proportion(name):
+    page = HUGE[name]
+    tracemalloc.start()
+    started = time.process_time()
+    text = html_mincut.main_text(page)
+    took, (_, peak) = time.process_time() - started, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    started = time.process_time()
+    html_mincut.main_text(page)
+    took = min(took, time.process_time() - started)
+    assert took < 5 and peak < 300e6, (took, peak / 1e6)
+    assert text or name != "open elements"
+
+
 # licences
 
 
