@@ -2,22 +2,25 @@
 
 Items of one length are alike, so the input is the count of each length, at most one
 entry per unit of capacity however many items there are. The search takes the largest
-remaining length, enumerates fillings of the rest of its bin that no other one
-dominates, and uses one as often as the counts allow. It branches over the fillings of
-least waste, gives up where the waste so far cannot beat the incumbent, and starts from
-best-fit decreasing as the first incumbent.
+remaining length and enumerates, as they are asked for and least waste first, the
+fillings of the rest of its bin that no other one dominates: none in which a remaining
+item could take the place of some of the items. It branches over all of them, gives up
+where the waste so far cannot beat the incumbent, and starts from best-fit decreasing as
+the first incumbent. The number of steps is its only bound; without it the result has
+the fewest bins.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 #: (times, lengths): bins that hold these lengths in this order.
 Pattern = tuple[int, tuple[int, ...]]
 
-#: Nodes of the search and fillings tried at each. The search is cut, never the items.
-NODES = 12_000
-WIDTH = 3
+#: Steps of the search. The search is cut, never the items.
+NODES = 600_000
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
@@ -70,60 +73,87 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
     return [(n, lengths) for group in open_bins.values() for n, lengths in group]
 
 
-def fillings(counts: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]:
-    """Undominated multisets of remaining lengths within `room`, least waste first.
+def _reachable(counts: list[int], room: int) -> list[int]:
+    """For each length x, as bits, the sums up to `room` that lengths up to x can have."""
+    every = (1 << (room + 1)) - 1
+    sums, out = 1, [1]
+    for length in range(1, room + 1):
+        left, part = min(counts[length] if length < len(counts) else 0, room // length), 1
+        while left > 0:
+            take = min(part, left)
+            sums |= (sums << (take * length)) & every
+            left, part = left - take, 2 * part
+        out.append(sums)
+    return out
+
+
+def _dominated(filling: list[int], slack: int, counts: list[int], there: int) -> bool:
+    """Whether one remaining item can take the place of a subset of the filling.
 
-    One item that fills the room dominates every other filling. Else each first item is
-    completed with the largest items that fit, and, if no filling is exact yet, each
-    pair of first items is. A filling that another one of no more items covers item by
-    item is dropped.
+    It must be at least as long as the subset, and longer or for two items or more, and
+    fit into the subset's room and the slack; the empty subset is the slack alone.
+    `there` has a bit for each remaining length.
     """
-    if room <= 0:
-        return [()]
-    there = np.flatnonzero(counts[: room + 1])
-    if not len(there):
-        return [()]
-    if there[-1] == room:
-        return [(room,)]
-    largest = np.zeros(room + 1, dtype=np.int64)
-    largest[there] = there
-    largest = np.maximum.accumulate(largest)
-
-    def completed(start: tuple[int, ...]) -> tuple[int, ...]:
-        chosen, rest = list(start), room - sum(start)
-        while rest > 0:
-            x = int(largest[rest])
-            while x and chosen.count(x) >= counts[x]:
-                x = int(largest[x - 1])
-            if not x:
+    for length in set(filling):
+        if filling.count(length) == counts[length]:
+            there &= ~(1 << length)
+    one = two = 0  # sums of subsets of one item or more, of two or more
+    for length in filling:
+        two |= one << length
+        one |= one << length | 1 << length
+    two |= one & two
+    if there & two:
+        return True
+    return any(there & ((one | 1) << more) for more in range(1, slack + 1))
+
+
+def fillings(counts: list[int], room: int, reach: list[int], most: int, budget: list[int]) -> Iterator[tuple[int, ...]]:
+    """Undominated multisets of remaining lengths within `room`, least waste first, as asked for.
+
+    One item that fills the room dominates every other filling. Nothing is left out up to
+    a waste of `most`; each step takes one from the budget, and none is made without it.
+    """
+    if room < len(counts) and counts[room]:
+        yield (room,)
+        return
+    there = 0
+    for length in range(1, min(room, len(counts) - 1) + 1):
+        there |= (counts[length] > 0) << length
+    for slack in range(min(most, room) + 1):
+        chosen: list[int] = []
+        rest, length = room - slack, room - slack
+        if not reach[room] >> rest & 1:
+            continue
+        while budget[0] > 0:
+            if not rest and (not _dominated(chosen, slack, counts, there)):
+                yield tuple(chosen)
+            # The longest item that can go on, or back to one that can be shorter.
+            below = there & ((1 << (min(length, rest) + 1)) - 1)
+            found = 0
+            while below and not found:
+                budget[0] -= 1
+                length = below.bit_length() - 1
+                if not reach[length] >> rest & 1:  # nor can shorter ones
+                    break
+                if counts[length] > chosen.count(length) and reach[length] >> (rest - length) & 1:
+                    found = length
+                below &= ~(1 << length)
+            if found:
+                chosen.append(found)
+                rest, length = rest - found, found
+            elif chosen:
+                last = chosen.pop()
+                rest, length = rest + last, last - 1
+            else:
                 break
-            times = min(rest // x, int(counts[x]) - chosen.count(x))
-            chosen += [x] * times
-            rest -= x * times
-        return tuple(sorted(chosen, reverse=True))
-
-    first = room - there - largest[room - there]
-    order = there[np.argsort(first, kind="stable")][: 4 * width]
-    found = {completed((int(x),)) for x in order}
-    if min(room - sum(f) for f in found) > 0 and len(there) > 1:
-        some = there[-512:]
-        left = room - some[:, None] - some[None, :]
-        waste = np.where(left >= 0, left - largest[np.maximum(left, 0)], room)
-        waste[np.diag_indices(len(some))] += np.where(counts[some] < 2, room, 0)
-        for at in np.argsort(waste, axis=None, kind="stable")[: 4 * width]:
-            x, y = (int(some[i]) for i in np.unravel_index(at, waste.shape))
-            if x + y <= room and (x != y or counts[x] > 1):
-                found.add(completed((x, y)))
-    ranked = sorted(found, key=lambda f: (room - sum(f), len(f), [-x for x in f]))
-    kept: list[tuple[int, ...]] = []
-    for f in ranked:
-        if not any(len(g) <= len(f) and all(a >= b for a, b in zip(g, f, strict=False)) and len(g) == len(f) for g in kept):
-            kept.append(f)
-    return kept[:width]
-
-
-def pack(counts: np.ndarray, capacity: int, nodes: int = NODES, width: int = WIDTH) -> list[Pattern]:
-    """Patterns that hold every item once; counts[length], lengths from 1 to capacity."""
+
+
+def pack(counts: np.ndarray, capacity: int, nodes: int = NODES) -> list[Pattern]:
+    """Patterns that hold every item once; counts[length], lengths from 1 to capacity.
+
+    A filling is first used as often as the counts allow; going back takes one use away
+    and tries the fillings behind it, so with enough nodes every packing is considered.
+    """
     counts = np.asarray(counts, dtype=np.int64)
     total = int((counts.astype(object) * np.arange(len(counts))).sum())
     if not total:
@@ -131,37 +161,46 @@ def pack(counts: np.ndarray, capacity: int, nodes: int = NODES, width: int = WID
     goal = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
     n_best = sum(n for n, _ in best)
-    left = counts.copy()
+    left = [int(c) for c in counts]
+    budget = [nodes]
+    reach = _reachable(left, capacity) if n_best > goal else []
     path: list[Pattern] = []
-    levels: list[list[tuple[int, ...]]] = []  # fillings not tried yet, by depth
-    waste = 0
-    while n_best > goal and nodes > 0:
-        nodes -= 1
-        there = np.flatnonzero(left)
-        hopeless = -(-(total + waste) // capacity) >= n_best
-        if not len(there) or hopeless:
-            if not hopeless:
-                best, n_best = list(path), sum(n for n, _ in path)
-            while levels and not levels[-1]:  # back to a level with another filling
-                levels.pop()
-                times, lengths = path.pop()
-                np.add.at(left, list(lengths), times)
-                waste -= times * (capacity - sum(lengths))
-            if not levels:
-                break
-            times, lengths = path.pop()
-            np.add.at(left, list(lengths), times)
-            waste -= times * (capacity - sum(lengths))
-            top = int(np.flatnonzero(left)[-1])
-        else:
-            top = int(there[-1])
+    waste, top, after = 0, len(left) - 1, None  # after: the filling behind which to go on
+    while n_best > goal and budget[0] > 0:
+        budget[0] -= 1
+        while top and not left[top]:
+            top -= 1
+        lengths = None
+        spare = (n_best - 1) * capacity - total - waste  # waste that still allows a better packing
+        if not top and spare >= 0:
+            best, n_best = list(path), sum(n for n, _ in path)
+        elif spare >= 0:
             left[top] -= 1
-            levels.append(fillings(left, capacity - top, width))
+            for filling in fillings(left, capacity - top, reach, spare, budget):
+                if after is None:
+                    lengths = (top, *filling)
+                    break
+                if filling == after:
+                    after = None
             left[top] += 1
-        lengths = (top, *levels[-1].pop(0))
-        used, uses = np.unique(lengths, return_counts=True)
-        times = int((left[used] // uses).min())
-        left[used] -= times * uses
-        waste += times * (capacity - sum(lengths))
+        after = None
+        if lengths is None:  # nothing better this way: one use less of the last filling
+            if not path:
+                break
+            times, lengths = path.pop()
+            for length in lengths:
+                left[length] += 1
+            waste -= capacity - sum(lengths)
+            if times > 1:
+                path.append((times - 1, lengths))
+            top, after = lengths[0], lengths[1:]
+            continue
+        lost = capacity - sum(lengths)
+        times = min(left[length] // lengths.count(length) for length in set(lengths))
+        if lost:
+            times = max(1, min(times, spare // lost))
+        for length in lengths:
+            left[length] -= times
+        waste += times * lost
         path.append((times, lengths))
     return best

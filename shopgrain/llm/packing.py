@@ -14,12 +14,14 @@ space and never joins words across it.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,63 +31,108 @@ from .common import settled
 
 CAPACITY = 2048
 END = 0
-#: Words a worker keeps encoded, for all its tasks; beyond that it starts anew.
-REMEMBERED = 800_000
-#: Texts whose new words are encoded together.
-TEXTS = 256
+#: Words that a worker keeps encoded, for all its tasks: so many new ones, and as many
+#: of those before that are met again.
+REMEMBERED = 400_000
+#: Bytes of text whose words are looked up together.
+TOGETHER = 1 << 23
 RANK_BITS = 44
+#: Words apart by blanks, as bytes of the vocabulary's alphabet.
+PLAIN_WORDS = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "WhitespaceSplit"},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
-class _Words(dict):
+class _Words:
     """Encoded words as bytes of little-endian unsigned 32-bit ids.
 
     The vocabulary is case-blind, so texts are looked up in lower case, unless they may
-    hold a special token. New words of many texts are encoded in one call, with full
-    stops between them; a comma or full stop after a letter is a word of its own.
+    hold a special token. Arrow splits many texts and numbers their different words;
+    only those are looked up, and the ids of all texts are taken by number. New words
+    are encoded in one call; a comma or full stop after a letter is a word of its own. When `new` is full it becomes `old`, and what is met
+    again goes back to `new`: frequent words are never learned twice.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
-        self.stop = self.tokenizer.encode(".", add_special_tokens=False).ids
+        spec = json.loads(self.tokenizer.to_str())
+        self.suffix = spec["model"]["end_of_word_suffix"]
+        spec |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": PLAIN_WORDS}
+        self.plain = Tokenizer.from_str(json.dumps(spec))
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.plain.get_vocab().items():
+            self.closes[number] = token.endswith(self.suffix)
 
     @staticmethod
-    def stem(word: bytes) -> bytes:
-        return word[:-1] if word[-1:] in (b".", b",") and word[-2:-1].isalpha() else word
-
-    def __missing__(self, word: bytes) -> bytes:
-        stem = self.stem(word)
-        if stem is not word:
-            found = self[stem] + self[word[-1:]]
-        else:
-            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            found = np.array(ids, "<u4").tobytes()
-        self[word] = found
-        return found
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in {self.stem(w) for w in words} - self.keys() if b"." not in w and b"<|" not in w]
-        if not new or len(self.stop) != 1:
-            return
-        text = b" . ".join(new).decode("utf-8", "replace")
-        (encoding,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        ids = np.array(encoding.ids, "<u4")
-        ends = (4 * np.append(np.flatnonzero(ids == self.stop[0]), len(ids))).tolist()
-        raw, at = ids.tobytes(), 0
-        for word, end in zip(new, ends, strict=True):
-            self[word] = raw[at:end]
-            at = end + 4
-
-    def encoded(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text."""
-        if len(self) >= REMEMBERED:
-            self.clear()
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self.learn(set().union(*split) - self.keys())
-        for words in split:
-            yield b"".join(map(self.__getitem__, words))
+    def _encode(tokenizer, text: str) -> np.ndarray:
+        (encoding,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(encoding.ids, "<u4")
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Words of lower-case letters below U+0250 are one word to the vocabulary as they
+        are; their last token closes a word. Others go through the whole tokenizer."""
+        plain, others = [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            fits = text.isalpha() and max(text) < "\u0250" and text == text.lower()
+            (plain if fits else others).append((word, text))
+        if plain:
+            ids = self._encode(self.plain, " ".join(text for _, text in plain))
+            ends = (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+            raw, at = ids.tobytes(), 0
+            for (word, _), end in zip(plain, ends, strict=True):
+                self.new[word] = raw[at:end]
+                at = end
+        if others:
+            found = self.tokenizer.encode_batch_fast([text for _, text in others], add_special_tokens=False)
+            for (word, _), encoding in zip(others, found, strict=True):
+                self.new[word] = np.array(encoding.ids, "<u4").tobytes()
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of different words."""
+        if len(self.new) >= REMEMBERED:
+            self.new, self.old = {}, self.new
+        new, old = self.new, self.old
+        known = list(map(new.get, words))
+        missing = []
+        for i in [i for i, found in enumerate(known) if found is None]:
+            word = words[i]
+            if (found := old.get(word)) is not None:
+                known[i] = new[word] = found
+            else:
+                after = word[-1:] if word[-1:] in (b".", b",") and word[-2:-1].isalpha() else b""
+                missing.append((i, word, word[:-1] if after else word, after))
+        if missing:
+            self._learn({stem for _, _, stem, _ in missing if stem not in new})
+            end_of = {b"": b""} | {end: self._encode(self.tokenizer, end.decode()).tobytes() for end in (b".", b",")}
+            for i, word, stem, after in missing:
+                known[i] = new[word] = new[stem] + end_of[after]
+        return known
+
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text ends."""
+        special = pc.match_substring(texts, "<|")
+        lower = pc.if_else(special, texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(lower)
+        ends = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
+        different = split.flatten().cast(pa.large_binary()).dictionary_encode()
+        known = self._ids(different.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = np.cumsum(sizes) - sizes
+        number = different.indices.to_numpy()
+        size = sizes[number]
+        after = np.cumsum(size)
+        place = np.repeat(starts[number] - after + size, size) + np.arange(after[-1] if len(after) else 0)
+        return ids[place], np.append(0, after)[ends]
 
 
 @lru_cache(maxsize=1)
@@ -93,44 +140,60 @@ def _words(path: str) -> _Words:
     return _Words(path)
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of texts of some TOGETHER bytes, at least one text each."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, before + TOGETHER, side="right")))
+        yield start, end
+        start = end
+
+
 def _pieces(path: str, capacity: int, end: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, source = _words(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         closing = np.array([end], "<u4").tobytes()
-        step = 4 * capacity
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_binary())
-            row, piece, length, crc = [], [], [], []
-            plain = [text.as_py() or b"" for text in texts]
-            coded = (ids for i in range(0, len(plain), TEXTS) for ids in words.encoded(plain[i : i + TEXTS]))
-            for i, found in enumerate(coded):
-                ids = found + closing
-                for p, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
+            whole = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
+            for first, last in _parts(whole):
+                ids, ends = words.encoded(whole.slice(first, last - first))
+                raw, at = memoryview(ids).cast("B"), 0
+                row, piece, length, crc = [], [], [], []
+                for i, stop in enumerate(ends.tolist(), start=first):
+                    full = 0
+                    while stop - at >= capacity:
+                        row.append(i)
+                        piece.append(full)
+                        length.append(capacity)
+                        crc.append(zlib.crc32(raw[4 * at : 4 * (at + capacity)]))
+                        at, full = at + capacity, full + 1
                     row.append(i)
-                    piece.append(p)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-            lengths, numbers = np.array(length, np.int64), np.array(piece, np.int64)
-            order = np.argsort(lengths, kind="stable")
-            ordered = lengths[order]
-            starts = np.searchsorted(ordered, ordered)
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order)) - starts + seen[ordered]
-            seen += np.bincount(lengths, minlength=capacity + 1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id").take(pa.array(row, pa.int64())),
-                    pa.array(numbers.astype(np.int32)),
-                    pa.array(numbers * capacity),
-                    pa.array(lengths),
-                    pa.array(crc, pa.int64()),
-                    pa.array(np.full(len(order), source, np.int64)),
-                    pa.array(place),
-                ],
-                names=["id", "piece", "start", "length", "ids_crc32", "source", "place"],
-            )
+                    piece.append(full)
+                    length.append(stop - at + 1)
+                    crc.append(zlib.crc32(closing, zlib.crc32(raw[4 * at : 4 * stop])))
+                    at = stop
+                lengths, numbers = np.array(length, np.int64), np.array(piece, np.int64)
+                order = np.argsort(lengths, kind="stable")
+                ordered = lengths[order]
+                starts = np.searchsorted(ordered, ordered)
+                place = np.empty(len(order), np.int64)
+                place[order] = np.arange(len(order)) - starts + seen[ordered]
+                seen += np.bincount(lengths, minlength=capacity + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id").take(pa.array(row, pa.int64())),
+                        pa.array(numbers.astype(np.int32)),
+                        pa.array(numbers * capacity),
+                        pa.array(lengths),
+                        pa.array(crc, pa.int64()),
+                        pa.array(np.full(len(order), source, np.int64)),
+                        pa.array(place),
+                    ],
+                    names=["id", "piece", "start", "length", "ids_crc32", "source", "place"],
+                )
 
     return cut
 
