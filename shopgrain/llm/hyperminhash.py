@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import hyperminhash_sketch as sketch
@@ -38,6 +38,8 @@ PERCENT = 75
 #: Members of a block in which all pairs are estimated, and of a group that is
 #: confirmed against one text.
 BLOCK = 256
+#: Tasks among which the pairs of one text are dealt.
+SALTS = 32
 CHUNK_PAIRS = 100_000
 
 
@@ -57,12 +59,12 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 registers.append(sketch.registers(found).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id").slice(at, 1024),
+                    *(batch.column(c).slice(at, 1024) for c in ("id", "row_a", "row_b")),
                     pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.binary()),
                     pa.array(registers, pa.binary()),
                 ],
-                names=["id", "n", "key", "registers"],
+                names=["id", "row_a", "row_b", "n", "key", "registers"],
             )
 
 
@@ -328,8 +330,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         .select("b", "part", F.lit(None).cast("long").alias("a"), "text")
     )
+    # A text may have a link to a third of all others: its pairs meet their parts in SALTS tasks.
+    salted = parts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     other = (
-        pairs.join(parts, "b")
+        pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int"))
+        .join(salted, ["b", "salt"])
         .withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")))
         .join(texts.select(F.col("id").alias("a"), "text"), "a")
         .select("b", "part", "a", "text")
@@ -350,12 +355,22 @@ def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return settled(likely.join(ids, "id", "left_semi"))
 
 
-def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept."""
-    texts = docs.select(
-        F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text")
+def _row_keys(id_column: str, text_column: str) -> tuple[Column, Column]:
+    """128 bits that name the id and the whole text of a row; null ids have their own."""
+    id_, text = F.col(f"`{id_column}`").cast("long"), F.col(f"`{text_column}`").cast("string")
+    parts = (id_.isNull(), id_, text.isNull(), text)
+    return F.xxhash64(F.lit("a"), *parts).alias("row_a"), F.xxhash64(F.lit("b"), *parts).alias("row_b")
+
+
+def _members(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """One row per document: id, row_a, row_b, n, component, kept."""
+    keyed = docs.select(
+        F.col(f"`{id_column}`").cast("long").alias("id"),
+        F.col(f"`{text_column}`").cast("string").alias("text"),
+        *_row_keys(id_column, text_column),
     )
-    rows = settled(texts.mapInArrow(_sketches, "id long, n long, key binary, registers binary"))
+    texts = keyed.select("id", "text")
+    rows = settled(keyed.mapInArrow(_sketches, "id long, row_a long, row_b long, n long, key binary, registers binary"))
     classes = settled(
         rows.where("key is not null and id is not null")
         .groupBy("key")
@@ -383,35 +398,34 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         .join(whole.withColumnRenamed("node", "cls"), "cls", "left")
         .select("key", F.coalesce("component", "cls").alias("component"))
     )
-    with_words = rows.where("key is not null").select("id", "n", "key").join(named, "key", "left")
-    without = rows.where("key is null").select("id", "n", F.col("id").alias("component"))
+    with_words = rows.where("key is not null").select("id", "row_a", "row_b", "n", "key").join(named, "key", "left")
+    without = rows.where("key is null").select("id", "row_a", "row_b", "n", F.col("id").alias("component"))
     kept = (F.col("n") == 0) | F.coalesce(F.col("id") == F.col("component"), F.lit(False))
-    return (
-        with_words.select("id", "n", "component")
-        .unionByName(without)
-        .select(
-            F.col("id").alias(id_column),
-            F.col("n").alias("n_shingles"),
-            F.col("component").alias("component_id"),
-            kept.alias("kept"),
-        )
+    return with_words.drop("key").unionByName(without).withColumn("kept", kept)
+
+
+def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: id, n_shingles, component_id, kept."""
+    return _members(docs, id_column, text_column).select(
+        F.col("id").alias(id_column),
+        F.col("n").alias("n_shingles"),
+        F.col("component").alias("component_id"),
+        "kept",
     )
 
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents that stay, with all columns. Only rows that may go are shuffled."""
-    gone = settled(
-        groups(docs, id_column, text_column)
-        .where(~F.col("kept"))
-        .select(F.col(id_column).cast("long").alias("_near_id"))
-        .distinct()
-    )
+    """The documents that `groups` keeps, with all columns. Only rows that may go are shuffled.
+
+    Rows go by their id and whole text, so of rows that share an id those stay that are
+    kept; rows with equal id and text stay or go together.
+    """
+    gone = settled(_members(docs, id_column, text_column).where(~F.col("kept")).select("row_a", "row_b").distinct())
     row = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_near_row"),
-        F.col(f"`{id_column}`").cast("long").alias("_near_id"),
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_near_row"), *_row_keys(id_column, text_column)
     )
-    marked = through(row, sieve(gone, "_near_id"), "_near_id")
-    suspects = marked.where("_sieve_hit").join(gone, "_near_id", "left_anti")
+    marked = through(row, sieve(gone, "row_a"), "row_a")
+    suspects = marked.where("_sieve_hit").join(gone, ["row_a", "row_b"], "left_anti")
     return (
         marked.where(~F.col("_sieve_hit"))
         .select("_near_row.*")
