@@ -10,13 +10,15 @@ As a kernel value is a product of presence vectors, landmarks and coefficients f
 one matrix of n-grams by languages, and a batch of texts is scored by one product with
 the matrix of their presence vectors. Each whole text is read.
 
-The classifier is fitted on a bounded sample, at most TRAIN_ROWS texts, the same number
-of each language, chosen by hash of the id. n-grams outside the sample's are unknown to
+The classifier is fitted on a bounded sample, at most TRAIN_ROWS texts of at most
+TRAIN_CHARACTERS characters, the same number of each language, chosen by hash of id and
+text. n-grams outside the sample's are unknown to
 the kernel.
 
 Defined cases: null text and text without a letter are `und` with score 0; ties go to the
 language first in order; rows with null language are predicted but not learned from; a
-null id counts as the empty text in the fold rule; repeated rows are predicted alike; if
+null id counts as the empty text in the fold rule; repeated rows are predicted alike and
+learned from once; a language that has only longer texts than the bound is not learned; if
 nothing can be learned, every row is `und`; columns besides id, text and language are not
 read, `known` passes all columns through.
 """
@@ -26,6 +28,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 
 #: Bounds of the sample that the classifier is fitted on, and of the landmarks.
 TRAIN_ROWS = 1600
+TRAIN_CHARACTERS = 50_000
 LANDMARKS = 200
 #: Signs: boundary, unknown letter, and the most frequent letters of the sample.
 SIGNS = 128
@@ -153,29 +157,41 @@ def held_out(id_column: str | Column) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model:
-    """A model from at most TRAIN_ROWS rows that have a language and are not held out."""
-    order = F.pmod(F.xxhash64(F.lit("train"), f"`{id_column}`"), F.lit(1 << 30))
+def sample(docs: DataFrame, id_column: str, text_column: str, lang_column: str) -> tuple[list[str], list[str]]:
+    """Texts and languages to learn from: of each language the rows with the least hashes.
+
+    Rows are hashed by id and text and count once if both are equal, so neither repeated
+    rows nor rows that share an id, or have none, push others out.
+    """
+    text, lang = F.col(f"`{text_column}`").cast("string"), F.col(f"`{lang_column}`").cast("string")
     rows = docs.where(
         F.col(f"`{lang_column}`").isNotNull()
         & F.col(f"`{text_column}`").rlike(r"\p{L}")
+        & (F.length(text) <= TRAIN_CHARACTERS)
         & ~held_out(F.col(f"`{id_column}`"))
-    ).select(F.col(f"`{lang_column}`").cast("string").alias("lang"), order.alias("place"), F.col(f"`{text_column}`").alias("text"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    each = max(1, TRAIN_ROWS // max(1, len(counts)))
-    chosen = F.lit(False)
-    for lang, n in counts.items():  # twice the quota is expected below the limit, then cut
-        limit = min(1.0, 2 * each / n) if n > 2 * each else 1.0
-        chosen = chosen | ((F.col("lang") == lang) & (F.col("place") < int(limit * (1 << 30))))
-    sample = rows.where(chosen).limit(4 * TRAIN_ROWS).collect() if counts else []
+    ).select(lang.alias("lang"), F.xxhash64(F.lit("train"), F.col(f"`{id_column}`"), text).alias("place"), text.alias("text"))
+    counted = rows.groupBy("lang").agg(F.approx_count_distinct("place", 0.02).alias("n")).collect()  # one per language
+    if not counted:
+        return [], []
+    each = max(1, TRAIN_ROWS // len(counted))
+    # Twice the quota is expected below the bound of a language, then cut.
+    low, span = -(1 << 63), 1 << 64
+    bound = {r["lang"]: low + int(span * min(1.0, 2 * each / r["n"])) if r["n"] > 2 * each else (1 << 63) - 1 for r in counted}
+    chosen = reduce(Column.__or__, ((F.col("lang") == lang) & (F.col("place") <= F.lit(b)) for lang, b in bound.items()))
+    some = rows.where(chosen).groupBy("lang", "place").agg(F.min("text").alias("text"))
     kept: Counter = Counter()
     texts, languages = [], []
-    for row in sorted(sample, key=lambda r: (r["place"], r["lang"], r["text"])):
+    for row in sorted(some.collect(), key=lambda r: (r["place"], r["lang"], r["text"])):
         if kept[row["lang"]] < each:
             kept[row["lang"]] += 1
             texts.append(row["text"])
             languages.append(row["lang"])
-    return fit(texts, languages)
+    return texts, languages
+
+
+def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model:
+    """A model from at most TRAIN_ROWS rows that have a language and are not held out."""
+    return fit(*sample(docs, id_column, text_column, lang_column))
 
 
 def predicted(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
