@@ -9,7 +9,7 @@ more distrust than trust and at least `threshold` times the average host's distr
 
 Built-in expressions only. Links are summed per pair of hosts before anything else, so a
 host with a third of all pages is one row; ranks join edges by host, with skewed hosts
-left to adaptive splitting, and are written every few rounds.
+left to adaptive splitting, and are written every few rounds, until they stand still.
 
 Defined cases: a null url, or one without `://`, has empty host and path, fits no rule and
 is allowed; null html has no links; links of a host to itself do not count; repeated rows
@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from .common import settled, whole
 
 DAMPING = 0.85
-ROUNDS = 24
 #: Rounds whose plan is written as one.
 ROUNDS_AT_ONCE = 4
-#: Largest change of a rank that ends the rounds.
-STILL = 1e-7
+#: Rounds go on until what is still on its way could change no host by this share of the
+#: average host's rank. Each round leaves at most DAMPING of it, so they end.
+PRECISION = 0.01
 #: A share of ruled pages above this makes a host a seed.
 SEED_SHARE = 0.5
 THRESHOLD = 1.0
@@ -92,11 +92,12 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, hosts: int) -> DataFrame:
     """(kind, host, rank): personalised PageRank of each kind, with ranks that sum to one.
 
     edges: kind, source, target, links. seeds: kind, host, weight. Mass at hosts without
     links is dropped, and ranks are scaled at the end: the same as sending it to the seeds.
+    The number of hosts sets the precision, so trust goes as far as it can matter.
     """
     out = edges.groupBy("kind", "source").agg(F.sum("links").alias("all"))
     shares = settled(
@@ -110,22 +111,24 @@ def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
             "kind", "host", (F.col("weight") / F.col("total")).alias("rank")
         )
     )
-    rank, rounds = start, 0
-    while rounds < ROUNDS and not shares.isEmpty() and not start.isEmpty():
-        before = rank
+    rank = start
+    linked = not shares.isEmpty() and not start.isEmpty()
+    while linked:
         for _ in range(ROUNDS_AT_ONCE):
+            before = rank
             passed = rank.join(shares, ["kind", "host"]).select(
                 "kind", F.col("target").alias("host"), (DAMPING * F.col("rank") * F.col("share")).alias("rank")
             )
             kept = start.select("kind", "host", ((1 - DAMPING) * F.col("rank")).alias("rank"))
             rank = kept.unionByName(passed).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        rank = settled(rank)
-        rounds += ROUNDS_AT_ONCE
-        change = rank.join(before.withColumnRenamed("rank", "old"), ["kind", "host"], "full").agg(
-            F.max(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))
+        both = before.select("kind", "host", "rank", F.lit(0.0).alias("now")).unionByName(
+            rank.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("now"))
         )
-        if (change.first()[0] or 0.0) < STILL:
-            break
+        rank = settled(both.groupBy("kind", "host").agg(F.sum("rank").alias("old"), F.sum("now").alias("rank")))
+        moved = rank.groupBy("kind").agg(F.sum(F.abs(F.col("rank") - F.col("old"))).alias("change"), F.sum("rank").alias("sum"))
+        rank = rank.drop("old")
+        on_its_way = F.col("change") * DAMPING / (1 - DAMPING) / F.col("sum")  # of ranks that sum to one
+        linked = not moved.where(on_its_way * hosts >= PRECISION).isEmpty()
     sums = rank.groupBy("kind").agg(F.sum("rank").alias("sum"))
     return rank.join(F.broadcast(sums), "kind").select("kind", "host", (F.col("rank") / F.col("sum")).alias("rank"))
 
@@ -154,9 +157,9 @@ def host_verdicts(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         ).alias("s"),
         "host",
     ).where(F.col("s.share") > SEED_SHARE)
-    ranks = spread(both, seeds.select("s.kind", "host", F.lit(1.0).alias("weight")))
     known = settled(hosts.select("host").unionByName(edges.select(F.col("target").alias("host"))).distinct())
     number = known.count()
+    ranks = spread(both, seeds.select("s.kind", "host", F.lit(1.0).alias("weight")), number)
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0))
     per_host = ranks.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
     scaled = per_host.select("host", *((F.col(c) * number).alias(c) for c in ("trust", "distrust")))
