@@ -30,10 +30,24 @@ def check_keys(dims: Mapping[str, DataFrame], relationships: Mapping[str, tuple[
             raise DuplicateKeyError(f"{key} is not unique in {name}")
 
 
+def guarded(dim: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
+    """Attributes by key, as `_dim_key` and `_d_…`; a job that meets a repeated key fails.
+
+    The dimension is folded by its key, which is also how a shuffled join deals it. The
+    refusal is part of the key, so no plan can join without it.
+    """
+    rows = dim.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.any_value(c).alias(f"_d_{n}") for c, n in columns.items()]
+    )
+    message = F.concat(F.lit(f"{key} is not unique in its dimension: "), F.col(key).cast("string"))
+    refused = F.raise_error(message).cast(dim.schema[key].dataType)
+    return rows.select(F.when(F.col("_rows") == 1, F.col(key)).otherwise(refused).alias("_dim_key"), *rows.columns[2:])
+
+
 def dimension_join(
     fact: DataFrame, dim: DataFrame, key: str, columns: Mapping[str, str], row_id: list[str]
 ) -> DataFrame:
-    """Left join that keeps every fact row, and repeats none if the dimension's key is unique.
+    """Left join that keeps every fact row and repeats none: a repeated key stops the job.
 
     `columns` maps dimension columns to their names in the result. Facts without a
     partner get the unknown member in text columns. Nothing runs here: Spark chooses
@@ -45,9 +59,7 @@ def dimension_join(
     """
     bucket = F.when(fact[key].isNull(), F.pmod(F.xxhash64(*row_id), F.lit(NULL_KEY_BUCKETS))).otherwise(0)
     left = fact.withColumn("_bucket", bucket.cast("int"))
-    right = dim.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("_dim_key"), F.lit(0).alias("_dim_bucket"), *[F.col(c).alias(f"_d_{n}") for c, n in columns.items()]
-    )
+    right = guarded(dim, key, columns).withColumn("_dim_bucket", F.lit(0))
     joined = left.join(
         right, (left[key] == right["_dim_key"]) & (left["_bucket"] == right["_dim_bucket"]), "left"
     )
@@ -66,7 +78,10 @@ def star_join(
     relationships: Mapping[str, tuple[str, Mapping[str, str]]],
     row_id: list[str],
 ) -> DataFrame:
-    """Fact rows with attributes of their dimensions; see `dimension_join` and `check_keys`."""
+    """Fact rows with attributes of their dimensions; see `dimension_join`.
+
+    `check_keys` refuses repeated keys before a job over the facts is started.
+    """
     for name, (key, columns) in relationships.items():
         fact = dimension_join(fact, dims[name], key, columns, row_id)
     return fact

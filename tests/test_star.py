@@ -3,7 +3,12 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from shopgrain.operators.star import DuplicateKeyError, check_keys, dimension_join
+from pyspark.errors import PySparkException
+
+from shopgrain.operators.star import DuplicateKeyError, check_keys, dimension_join, star_join
+from shopgrain.plans import reports
+from shopgrain.plans.model import RetailModel
+from shopgrain.sources.driver_tables import DriverTables
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +54,36 @@ def test_a_repeated_key_is_refused(dim):
         check_keys({"dim": dim.union(dim)}, relationship)
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_a_repeated_key_stops_the_join(spark, facts, dim, threshold):
+    """Whatever the join, and also where the attributes are the same or are not asked for."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for repeated in (dim.union(dim.where("StoreID = 'hot'")), dim.union(spark.createDataFrame([("k1", "x", 9)], dim.schema))):
+            for ask in (lambda d: d.collect(), lambda d: d.groupBy("Region").count().collect()):
+                with pytest.raises(PySparkException, match="StoreID is not unique"):
+                    ask(joined(facts, repeated))
+        nulls = dim.union(dim.where("StoreID is null"))  # absent keys match nothing and may repeat
+        assert joined(facts, nulls).count() == 900
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_star_reports_refuse_a_repeated_employee(spark, folder):
+    source = DriverTables(spark, folder)
+    employees = source.raw("mdm.E00Employee")
+    raw = lambda name: employees.union(employees.limit(1)) if name == "mdm.E00Employee" else source.raw(name)
+    with pytest.raises(PySparkException, match="EmpID is not unique"):
+        reports.star_sales(RetailModel(raw, source.sales)).collect()
+
+
+def test_relationships_are_joined_one_after_the_other(facts, dim):
+    dims = {"one": dim, "two": dim.withColumnRenamed("Region", "Other")}
+    found = star_join(facts, dims, {"one": ("StoreID", {"Region": "R"}), "two": ("StoreID", {"Other": "O"})}, ["OrderID"])
+    assert found.columns == ["OrderID", "StoreID", "amount", "R", "O"] and found.where("R = O").count() == 900
+
+
 def test_large_dimensions_are_not_broadcast(facts, dim, spark):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
