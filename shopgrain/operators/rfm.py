@@ -16,17 +16,20 @@ SCORES = {"R": "Recency_Days", "F": "Frequency", "M": "Monetary"}
 TILES = 5
 
 
-def customer_base(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Recency, frequency and monetary value of every customer with a completed order.
+def customer_orders(sales: DataFrame) -> DataFrame:
+    """Net revenue per customer, completed order and day: what the base is folded from."""
+    completed = sales.filter(F.col("IsSuccess") & F.col("CustomerID").isNotNull())
+    return completed.groupBy("CustomerID", "OrderID", "DateKey").agg(F.sum("NetRevenue").alias("NetRevenue"))
+
+
+def base_of_orders(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Recency, frequency and monetary value of the customers of these orders.
 
     Sales on days outside the calendar do not count. Recency is measured from
     the last day of the calendar, which may be later than the last sale.
     """
     days = dim_date.select("DateKey", "FullDate")
     last_day = days.agg(F.max("FullDate").alias("day")).select("day").scalar()
-    completed = sales.filter(F.col("IsSuccess") & F.col("CustomerID").isNotNull())
-    # Lines are folded to orders by day before they meet the calendar.
-    orders = completed.groupBy("CustomerID", "OrderID", "DateKey").agg(F.sum("NetRevenue").alias("NetRevenue"))
     return (
         orders.join(days, "DateKey")
         .groupBy("CustomerID")
@@ -39,6 +42,14 @@ def customer_base(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
+def customer_base(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Recency, frequency and monetary value of every customer with a completed order.
+
+    Lines are folded to orders by day before they meet the calendar.
+    """
+    return base_of_orders(customer_orders(sales), dim_date)
+
+
 def score(base: DataFrame, buckets: int | None = None) -> DataFrame:
     """Quintile scores by distributed NTILE; ties fall in order of customer id.
 

@@ -382,10 +382,13 @@ def conform_tagged(
     matching: Column,
     columns: TaggedColumns,
     line_basis: Sequence[Column] = (),
+    order_key: Column | None = None,
 ) -> DataFrame:
     """Contract rows of all feeds from tagged orders and their lines.
 
-    `line_basis` are columns that the raw line columns build on.
+    `line_basis` are columns that the raw line columns build on. With `order_key`, a
+    column of the join, rows also have it as `OrderKey`: by it the lines of an order
+    already lie together, so a fold by order needs no further shuffle.
 
     Both sides grow with the data, so they are joined by sort-merge, never by
     broadcast; adaptive execution splits an order that holds very many lines.
@@ -394,7 +397,9 @@ def conform_tagged(
     lines = orders.join(items.hint("merge"), matching).select("*", *line_basis)
     lines = reduce(DataFrame.filter, columns.line_filters, lines)
     order_names = [name for name in output_schema(FACT).names if name not in LINE_COLUMNS]
-    return lines.select(*order_names, *columns.line_columns).select(*output_schema(FACT).names)
+    key = [] if order_key is None else [order_key.alias("OrderKey")]
+    named = [*output_schema(FACT).names, *(["OrderKey"] if key else [])]
+    return lines.select(*order_names, *columns.line_columns, *key).select(*named)
 
 
 def store_feed(headers: DataFrame, items: DataFrame, statuses: DataFrame) -> tuple[DataFrame, Raw]:

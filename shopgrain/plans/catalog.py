@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import session
 from ..functions import vocabulary as words
 from ..operators import rfm
-from . import reports
+from . import reports, stored
 from .model import RetailModel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,14 @@ def _on_model(report: Callable[[RetailModel], DataFrame]) -> Query:
     return query
 
 
+def _on_folder(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        session.apply(spark)
+        return query(spark, folder)
+
+    return run
+
+
 def _rfm_in_buckets(model: RetailModel) -> DataFrame:
     """Customer segments by the steps that large customer counts take."""
     return rfm.customer_rfm(model.fact_sales, model.dim_date, buckets=16)
@@ -71,4 +79,5 @@ def queries() -> dict[str, Query]:
         "fact_sales_union": _on_model(RetailModel.stacked_sales),
         "customer_rfm_distributed": _on_model(_rfm_in_buckets),
     }
-    return products | variants | {report.__name__: _on_model(report) for report in REPORTS}
+    on_model = {report.__name__: _on_model(report) for report in (*REPORTS, *stored.ON_MODEL)}
+    return products | variants | on_model | {query.__name__: _on_folder(query) for query in stored.ON_FOLDER}

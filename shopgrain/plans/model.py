@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import vocabulary as words
 from ..operators import dims, rfm, targets
@@ -19,21 +20,34 @@ class RetailModel:
     """Products as DataFrames, each built when first asked for.
 
     `raw` gives a raw table by name. `sales` may replace the stacking of feeds
-    where their lines already lie together; it takes the names of the feeds.
+    where their lines already lie together; it takes the names of the feeds. `keyed`
+    gives the same with a column `OrderKey`, by which the lines of an order lie together.
     """
 
-    def __init__(self, raw: RawTables, sales: Callable[..., DataFrame] | None = None):
+    def __init__(
+        self,
+        raw: RawTables,
+        sales: Callable[..., DataFrame] | None = None,
+        keyed: Callable[..., DataFrame] | None = None,
+    ):
         self._raw = raw
         self._sales = sales or self.stacked_sales
+        self._keyed = keyed
 
     @classmethod
     def of_tables(cls, tables: Mapping[str, DataFrame]) -> RetailModel:
         return cls(tables.__getitem__)
 
     @classmethod
-    def of_driver_tables(cls, spark: SparkSession, folder: str) -> RetailModel:
-        source = DriverTables(spark, folder)
-        return cls(source.raw, source.sales)
+    def of_driver_tables(
+        cls, spark: SparkSession, folder: str, stored: Mapping[str, DataFrame] | None = None
+    ) -> RetailModel:
+        source = DriverTables(spark, folder, stored)
+        return cls(source.raw, source.sales, source.keyed_sales)
+
+    def raw(self, name: str) -> DataFrame:
+        """A raw table."""
+        return self._raw(name)
 
     @cached_property
     def dim_product(self) -> DataFrame:
@@ -60,6 +74,12 @@ class RetailModel:
     def fact_sales(self) -> DataFrame:
         return self._sales(*words.FEEDS)
 
+    def keyed_sales(self) -> DataFrame:
+        """The sales fact with `OrderKey`: one value per order id, null where that is null."""
+        if self._keyed:
+            return self._keyed(*words.FEEDS)
+        return self.fact_sales.withColumn("OrderKey", F.col("OrderID"))
+
     def sales_of(self, *feeds: str) -> DataFrame:
         """The sales fact of some feeds; the others are not read."""
         return self._sales(*feeds)

@@ -352,9 +352,40 @@ _DAILY = """daily AS (
 )"""
 
 
+# The fact after the changes that the upkeep queries apply.
+CHANGED = """
+changed AS (
+  SELECT * REPLACE (
+    CAST(Quantity + CASE WHEN n % 20 = 1 THEN 1 ELSE 0 END AS INTEGER) AS Quantity,
+    CAST(year(day) * 10000 + month(day) * 100 + day(day) AS INTEGER) AS DateKey)
+  FROM (
+    SELECT *, CAST(OrderID AS BIGINT) AS n,
+      CASE WHEN CAST(OrderID AS BIGINT) % 20 = 2 THEN CAST(OrderDate + 31 AS DATE) ELSE OrderDate END AS day
+    FROM fact_sales
+  ) WHERE n % 20 <> 0 OR n % 40 = 0
+)"""
+
+REJECTS = f"""
+WITH {MONTHS}, rejects AS (
+  SELECT 'gmc.E01OrderHeader' AS Source, 'BirthDay' AS ColumnName, count(*) AS Rejects
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '2-HIGH' AND c_acctbal < 0
+  UNION ALL
+  SELECT 'gmc.E01OrderHeader', 'DistrictID', count(*)
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '2-HIGH' AND c_acctbal > 9000
+  UNION ALL
+  SELECT 'mdm.E00Employee', 'start_date', count(*) FROM supplier WHERE s_acctbal <= 1000
+  UNION ALL
+  SELECT 'rms.E00ItemMST', 'PackageWeight', count(*) FROM part WHERE p_size = 7
+  UNION ALL
+  SELECT 'gmc.E00Target', 'Items', count(*) FROM months WHERE month(first_day) = 2
+)
+SELECT * FROM rejects WHERE Rejects > 0
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     sales = FACT_SALES
-    return {
+    found = {
         "dim_product": _with(DIM_PRODUCT, "SELECT * FROM dim_product"),
         "dim_store": _with(DIM_STORE, "SELECT * FROM dim_store"),
         "dim_employee": _with(DIM_EMPLOYEE, "SELECT * FROM dim_employee"),
@@ -549,4 +580,45 @@ WHERE IsSuccess GROUP BY 1, 2, 3, 4, 5""",
 FROM fact_target t LEFT JOIN dim_date d ON d.DateKey = t.DateKey LEFT JOIN dim_store s ON s.StoreID = t.StoreID
 GROUP BY 1, 2, 3""",
         ),
+        "distinct_orders_bitmap": _with(
+            [sales],
+            """SELECT ChannelGroup, count(DISTINCT OrderID) AS Orders, count(DISTINCT CustomerID) AS Customers
+FROM fact_sales GROUP BY 1
+UNION ALL SELECT 'All', count(DISTINCT OrderID), count(DISTINCT CustomerID) FROM fact_sales""",
+        ),
+        "distinct_sketch_rollup": _with(
+            [sales],
+            """SELECT DateKey // 100 AS YearMonth, ChannelGroup, count(DISTINCT OrderID) AS Orders,
+  count(DISTINCT CustomerID) AS Customers, TRUE AS OrdersNear, TRUE AS CustomersNear
+FROM fact_sales GROUP BY 1, 2""",
+        ),
+        "customers_kept": _with(
+            [sales, DIM_DATE,
+             """active AS (
+  SELECT DISTINCT CAST(Year * 4 + QuarterNum AS INTEGER) AS Quarter, CustomerID
+  FROM fact_sales JOIN dim_date USING (DateKey) WHERE CustomerID IS NOT NULL
+)"""],
+            """SELECT a.Quarter, count(*) AS Customers, count(b.CustomerID) AS Kept, TRUE AS KeptNear
+FROM active a LEFT JOIN active b ON b.Quarter = a.Quarter + 1 AND b.CustomerID = a.CustomerID GROUP BY 1""",
+        ),
+        "sales_upkeep": _with(
+            [sales, CHANGED],
+            """SELECT DateKey // 100 AS YearMonth, Channel, count(*) AS OrderLines, count(DISTINCT OrderID) AS Orders,
+  CAST(sum(Quantity) AS BIGINT) AS Units, CAST(sum(NetRevenue) AS DECIMAL(38,4)) AS NetRevenue
+FROM changed GROUP BY 1, 2""",
+        ),
+        "customer_base_upkeep": _with(
+            [sales, CHANGED, DIM_DATE],
+            """SELECT CustomerID, CAST((SELECT max(FullDate) FROM dim_date) - max(FullDate) AS INTEGER) AS Recency_Days,
+  count(DISTINCT OrderID) AS Frequency, CAST(sum(NetRevenue) AS DECIMAL(38,4)) AS Monetary
+FROM changed JOIN dim_date USING (DateKey) WHERE IsSuccess AND CustomerID IS NOT NULL GROUP BY CustomerID""",
+        ),
+        "quarter_sales_pruned": _with(
+            [sales, DIM_DATE],
+            """SELECT YearMonth, Channel, IsWorkingDay, count(*) AS OrderLines,
+  CAST(sum(NetRevenue) AS DECIMAL(38,4)) AS NetRevenue
+FROM fact_sales JOIN dim_date USING (DateKey) WHERE YearQuarter = '1996-Q2' GROUP BY 1, 2, 3""",
+        ),
+        "cast_rejects": REJECTS,
     }
+    return found | {"channel_breakdown_bucketed": found["channel_breakdown"]}

@@ -58,15 +58,39 @@ def row_count_audit(model: RetailModel) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _orders(model: RetailModel, *by: str) -> DataFrame:
+    """Lines folded to orders, where the join has brought them together.
+
+    An order counts once, so the number of orders is a plain sum of the folded rows.
+    """
+    return model.keyed_sales().groupBy("OrderKey", *by).agg(
+        F.max(F.when(F.col("OrderID").isNotNull(), 1)).alias("orders"),
+        m.units().alias("units"),
+        F.sum(F.when(F.col("IsSuccess"), F.col("NetRevenue"))).alias("revenue"),
+        _count(F.col("IsSuccess") & F.col("NetRevenue").isNotNull()).alias("priced"),
+        m.success_lines().alias("success"),
+        m.lines().alias("lines"),
+        F.max("IsSuccess").alias("success_order"),
+    )
+
+
+def _whole(column: str) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0))
+
+
 def channel_breakdown(model: RetailModel) -> DataFrame:
     """Orders, units, completed revenue and success rate per channel."""
-    per_channel = model.fact_sales.groupBy("Channel", "ChannelGroup").agg(
-        F.countDistinct("OrderID").alias("Orders"),
-        m.units().alias("Units"),
-        m.revenue().alias("Revenue_Success"),
-        _count(F.col("IsSuccess") & F.col("NetRevenue").isNotNull()).alias("_priced"),
-        m.success_lines().alias("_success"),
-        m.lines().alias("_lines"),
+    per_channel = (
+        _orders(model, "Channel", "ChannelGroup")
+        .groupBy("Channel", "ChannelGroup")
+        .agg(
+            _whole("orders").alias("Orders"),
+            F.sum("units").alias("Units"),
+            _amount(F.sum("revenue")).alias("Revenue_Success"),
+            F.sum("priced").alias("_priced"),
+            F.sum("success").alias("_success"),
+            F.sum("lines").alias("_lines"),
+        )
     )
     return per_channel.select(
         "Channel",
@@ -81,10 +105,8 @@ def channel_breakdown(model: RetailModel) -> DataFrame:
 
 def total_revenue(model: RetailModel) -> DataFrame:
     """Completed revenue, distinct orders and average order value, all channels."""
-    totals = model.fact_sales.agg(
-        m.revenue().alias("Revenue"),
-        F.countDistinct("OrderID").alias("Orders"),
-        m.lines().alias("OrderLines"),
+    totals = _orders(model).agg(
+        _amount(F.sum("revenue")).alias("Revenue"), _whole("orders").alias("Orders"), _whole("lines").alias("OrderLines")
     )
     return totals.withColumn("RevenuePerOrder", m.ratio(F.col("Revenue"), F.col("Orders")))
 
@@ -103,14 +125,11 @@ def channel_group_share(model: RetailModel) -> DataFrame:
 
 def overall_success(model: RetailModel) -> DataFrame:
     """Success rate of all orders, and of all lines."""
-    orders = model.fact_sales.groupBy("OrderID").agg(
-        F.max("IsSuccess").alias("success"), m.lines().alias("lines"), m.success_lines().alias("success_lines")
-    )
-    totals = orders.agg(
-        F.count("OrderID").alias("Orders"),
-        _count(F.col("success") & F.col("OrderID").isNotNull()).alias("SuccessOrders"),
-        F.coalesce(F.sum("lines"), F.lit(0)).alias("OrderLines"),
-        F.coalesce(F.sum("success_lines"), F.lit(0)).alias("SuccessLines"),
+    totals = _orders(model).agg(
+        _whole("orders").alias("Orders"),
+        _count(F.col("success_order") & F.col("orders").isNotNull()).alias("SuccessOrders"),
+        _whole("lines").alias("OrderLines"),
+        _whole("success").alias("SuccessLines"),
     )
     return totals.withColumns(
         {

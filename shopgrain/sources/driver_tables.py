@@ -11,6 +11,7 @@ All derivations are column expressions, so filters and pruning reach the scans.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -308,11 +309,14 @@ def as_declared(frame: DataFrame, name: str) -> DataFrame:
 class DriverTables:
     """Retail sources derived from one folder of the given tables."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, stored: Mapping[str, DataFrame] | None = None):
+        """`stored` gives tables that are read from elsewhere, such as a bucketed copy."""
+        self.spark, self.folder, self.stored = spark, folder, stored or {}
         self._schemas: dict[str, T.StructType] = {}
 
     def table(self, name: str) -> DataFrame:
+        if name in self.stored:
+            return self.stored[name]
         path = f"{self.folder}/{name}.parquet"
         if name not in self._schemas:  # each look at a file is a job of its own
             self._schemas[name] = self.spark.read.parquet(path).schema
@@ -340,12 +344,20 @@ class DriverTables:
 
     def sales(self, *feeds: str) -> DataFrame:
         """The sales fact of feeds (all by default) from one scan of each table and one join."""
+        return self._conformed(feeds)
+
+    def keyed_sales(self, *feeds: str) -> DataFrame:
+        """The same with `OrderKey`, the number of the order by which the join deals its lines."""
+        return self._conformed(feeds, F.col("o_orderkey"))
+
+    def _conformed(self, feeds: tuple[str, ...], order_key: Column | None = None) -> DataFrame:
         return conform_tagged(
             self._orders_of(*(feeds or words.FEEDS)),
             self._items(),
             F.col("o_orderkey") == F.col("l_orderkey"),
             _tagged_columns(),
             _line_columns(),
+            order_key,
         )
 
     def _items(self) -> DataFrame:
