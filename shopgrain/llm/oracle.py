@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from .license_scan import CUE, PARAGRAPH, SENTENCE, THRESHOLD
-from .license_templates import TOKEN, inverse_frequencies, vectors
+from .license_scan import COMMENT, CUE, PARAGRAPH, SENTENCE, SENTENCE_END, THRESHOLD
+from .license_templates import TOKEN, counts
 from .oracle_conversations import OP11, OP13
-from .url_graph import DAMPING, ROUNDS, RULES, SEED_SHARE
+from .url_graph import DAMPING, RULES, SEED_SHARE
+
+#: Rounds of PageRank in SQL, which cannot tell when ranks stand still: enough for 10,000 hosts.
+ROUNDS = 120
 
 OP1 = r"""
 WITH d AS (
@@ -103,33 +106,52 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else repr(v) for v in r) + ")" for r in rows)
 
 
-_IDF, _OTHER = inverse_frequencies()
+# Patterns without what this engine's do not have: possessive repeats, and \\v among white space.
+_BLANK = r"[ \t\n\x0B\f\r]+"
+COMMENT_SQL = COMMENT.replace(r"[ \t]*+", r"[ \t]*").replace(")?+", ")?")
+SENTENCE_END_SQL = SENTENCE_END.replace(r"\s+", _BLANK)
 
 OP10 = rf"""
-WITH idf(token, idf) AS (VALUES {_values(sorted(_IDF.items()))}),
-known(template, licence, token, share) AS (VALUES {_values(vectors())}),
+WITH known(template, licence, token, n) AS (VALUES {_values(counts())}),
 d AS (
   SELECT doc_id, source || '/' || doc_id::VARCHAR AS path, text,
          regexp_matches(coalesce(text, ''), '{CUE}') AS cue FROM documents
 ), lines AS (
   SELECT DISTINCT doc_id, unnest(string_split(text, chr(10))) AS segment FROM d WHERE cue
+), unwrapped AS (
+  SELECT DISTINCT doc_id, regexp_replace(
+    unnest(regexp_split_to_array(regexp_replace(text, '{COMMENT_SQL}', '', 'g'), '{PARAGRAPH}')), '{_BLANK}', ' ', 'g') AS segment
+  FROM d WHERE cue
 ), segments AS (
   SELECT doc_id, unnest(regexp_split_to_array(text, '{PARAGRAPH}')) AS segment FROM d WHERE cue
   UNION SELECT * FROM lines
   UNION SELECT doc_id, unnest(regexp_extract_all(segment, '{SENTENCE}')) FROM lines WHERE regexp_matches(segment, '{CUE}')
+  UNION SELECT doc_id, unnest(regexp_split_to_array(segment, '{SENTENCE_END_SQL}')) FROM unwrapped
+    WHERE regexp_matches(segment, '{CUE}')
 ), s AS (
   SELECT * FROM segments WHERE regexp_matches(segment, '{CUE}')
+), df AS (
+  SELECT token, count(*) AS n_texts
+  FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '{TOKEN}'))) AS token FROM documents) GROUP BY 1
+), idf AS (
+  SELECT token, ln((1.0::DOUBLE + (SELECT count(*) FROM documents)) / (1.0::DOUBLE + n_texts)) + 1.0 AS idf FROM df
+), unseen AS (
+  SELECT ln(1.0::DOUBLE + (SELECT count(*) FROM documents)) + 1.0 AS idf
+), vector AS (
+  SELECT template, licence, token, n * coalesce(idf.idf, unseen.idf) AS weight FROM known LEFT JOIN idf USING (token), unseen
+), shares AS (
+  SELECT template, licence, token, weight / sqrt(sum(weight * weight) OVER (PARTITION BY template)) AS share FROM vector
 ), terms AS (
-  SELECT segment, token, count(*) * coalesce(any_value(idf), {_OTHER!r}) AS weight
+  SELECT segment, token, count(*) * any_value(idf) AS weight
   FROM (SELECT segment, unnest(regexp_extract_all(lower(segment), '{TOKEN}')) AS token FROM (SELECT DISTINCT segment FROM s))
-  LEFT JOIN idf USING (token) GROUP BY 1, 2
+  JOIN idf USING (token) GROUP BY 1, 2
 ), dots AS (
-  SELECT segment, template, licence, sum(weight * share) AS dot FROM terms JOIN known USING (token) GROUP BY 1, 2, 3
+  SELECT segment, template, licence, sum(weight * share) AS dot FROM terms JOIN shares USING (token) GROUP BY 1, 2, 3
 ), lengths AS (
   SELECT segment, sqrt(sum(weight * weight)) AS length FROM terms GROUP BY 1
 ), best AS (
   SELECT segment, licence, round(dot / length, 6) AS score FROM dots JOIN lengths USING (segment)
-  QUALIFY row_number() OVER (PARTITION BY segment ORDER BY dot DESC, licence DESC) = 1
+  QUALIFY row_number() OVER (PARTITION BY segment ORDER BY score DESC, licence DESC) = 1
 ), own AS (
   SELECT doc_id, licence, score FROM s JOIN best USING (segment) WHERE score >= {THRESHOLD}
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence DESC) = 1
