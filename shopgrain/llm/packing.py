@@ -35,7 +35,7 @@ END = 0
 #: of those before that are met again.
 REMEMBERED = 400_000
 #: Bytes of text whose words are looked up together.
-TOGETHER = 1 << 23
+TOGETHER = 1 << 22
 RANK_BITS = 44
 #: Words apart by blanks, as bytes of the vocabulary's alphabet.
 PLAIN_WORDS = {
