@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
@@ -292,10 +293,19 @@ def test_near_pair_with_an_earlier_band_alike_in_low_bits_only(spark):
 def test_near_keeps_whole_rows(edge):
     kept = hyperminhash.deduplicated(edge)
     assert kept.columns == edge.columns
-    expected = Counter(r[0] for r in brute_components([(r.doc_id, r.text) for r in edge.collect()]) if r[3])
-    gone = {r[0] for r in brute_components([(r.doc_id, r.text) for r in edge.collect()]) if not r[3]}
-    found = Counter(r.doc_id for r in kept.collect())
-    assert set(found) == set(expected) or set(found) - {None} == set(expected) - {None} and None in gone
+    rows = edge.collect()
+    stays = Counter(r.doc_id for r in hyperminhash.groups(edge).where("kept").collect())
+    assert Counter(r.doc_id for r in kept.collect()) == stays
+    assert stays == Counter(r[0] for r in brute_components([(r.doc_id, r.text) for r in rows]) if r[3])
+
+
+def test_near_rows_that_share_an_id(spark):
+    """Rows go by id and text: another text of the same id stays."""
+    a, b, c = ("one two three four five six", "red green blue black white grey", "ash oak elm fir yew box")
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "y"), (None, b, "z"), (None, c, "z"), (None, "", "z"), (3, b, "w"), (2, b, "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row_a string")
+    kept = sorted((tuple(r) for r in hyperminhash.deduplicated(df).collect()), key=key)
+    assert kept == sorted([(1, a, "x"), (2, b, "y"), (2, b, "v"), (None, "", "z")], key=key)
 
 
 def test_sketch_estimates_and_registers():
@@ -316,6 +326,27 @@ def test_components(spark):
     assert components(df.limit(0)).count() == 0
 
 
+def test_languages_are_not_pushed_out(spark):
+    """Rows that share an id, or have none, and copies leave room for all languages."""
+    words = {"en": "the and of with from about", "de": "der die und nicht auch eine", "fr": "le les des une dans pour"}
+    rng, rows = np.random.default_rng(6), []
+    for lang, n in (("fr", 6000), ("en", 900), ("de", 900)):
+        for i in range(n):
+            text = " ".join(rng.choice(words[lang].split(), 12))
+            rows.append((1 if lang == "fr" else None if i % 2 else int(rng.integers(10**6)), text, lang))
+    copy, other = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2][-2:]
+    rows += [(copy, "la la la la la", "it")] * 3000 + [(other, "uno due tre quattro", "it")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts, languages = string_kernel.sample(df, "doc_id", "text", "lang")
+    counts = Counter(languages)
+    each = string_kernel.TRAIN_ROWS // 4
+    assert counts["fr"] == counts["en"] == counts["de"] == each and counts["it"] == 2
+    assert len(set(zip(texts, languages, strict=True))) > 3 * each * 0.9
+    shuffled = df.repartition(7)
+    assert string_kernel.sample(shuffled, "doc_id", "text", "lang") == (texts, languages)
+    assert set(string_kernel.train(df).languages) == {"de", "en", "fr", "it"}
+
+
 # packing
 
 
@@ -366,13 +397,60 @@ def test_packing(edge, documents, empty):
     assert packing.packed(empty, path).count() == 0
 
 
-def test_words_are_encoded_as_texts_are():
+def test_words_are_encoded_as_texts_are(monkeypatch):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(packing, "REMEMBERED", 500)  # so that words are forgotten and met again
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer, words = Tokenizer.from_file(path), packing._Words(path)
     rng = np.random.default_rng(4)
-    letters = [*"aAbEetsSTÉé́Σσİ.,'-<>|12½ \n\t中😀\x85\x1c", "'s", "<|endoftext|>", "<|ENDOFTEXT|>", "...", "the", " "]
+    letters = [*"aAbEetsSTÉé́Σσİ.,'-<>|12½ \n\t中😀\x85\x1cŉßɐ", "'s", "<|endoftext|>", "<|ENDOFTEXT|>", "...", "the", " "]
     texts = ["".join(rng.choice(letters, rng.integers(0, 25))) for _ in range(3000)]
-    for text, found in zip(texts, words.encoded([t.encode() for t in texts]), strict=True):
-        assert found == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    for start in range(0, len(texts), 300):
+        some = texts[start : start + 300]
+        ids, ends = words.encoded(pa.array(some, pa.large_string()))
+        for text, found in zip(some, np.split(ids, ends[:-1]), strict=True):
+            assert found.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_bin_completion_finds_the_fewest_bins():
+    rng = np.random.default_rng(2)
+    for _ in range(150):
+        capacity, n = int(rng.integers(8, 40)), int(rng.integers(1, 11))
+        items = [int(x) for x in rng.integers(max(1, capacity // 8), max(2, capacity * 3 // 4), n)]
+        least = [(0, 0)] + [(n + 1, 0)] * ((1 << n) - 1)  # (full bins, load of the last) by set of items
+        for chosen in range(1, 1 << n):
+            for i in range(n):
+                if chosen >> i & 1:
+                    bins, load = least[chosen ^ (1 << i)]
+                    if bins == 0 or load + items[i] > capacity:
+                        bins, load = bins + 1, 0
+                    least[chosen] = min(least[chosen], (bins, load + items[i]))
+        counts = np.bincount(items, minlength=capacity + 1)
+        assert sum(times for times, _ in bin_completion.pack(counts, capacity)) == least[-1][0]
+
+
+def test_fillings_leave_nothing_out_but_dominated_ones():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        room = int(rng.integers(5, 16))
+        counts = [0, *(int(x) for x in rng.integers(0, 3, room - 1)), 0]
+        reach = bin_completion._reachable(counts, room)
+        found = list(bin_completion.fillings(counts, room, reach, room, [10**6]))
+        sets = [()]
+        for length in range(room, 0, -1):
+            sets = [s + (length,) * k for s in sets for k in range(counts[length] + 1) if sum(s) + k * length <= room]
+
+        def beaten(s):
+            for size in range(1, 1 << len(s)):
+                part = [x for i, x in enumerate(s) if size >> i & 1]
+                for x in range(sum(part), sum(part) + room - sum(s) + 1):
+                    if x <= room and counts[x] > s.count(x) and (len(part) > 1 or x > part[0]):
+                        return True
+            return False
+
+        # An item may also be added to what has room for it: the empty subset.
+        full = lambda s: not any(counts[x] > s.count(x) for x in range(1, room - sum(s) + 1))
+        expected = {s for s in sets if not beaten(s) and full(s)}
+        assert expected == set(found) and len(found) == len(expected)
+        assert [sum(s) for s in found] == sorted((sum(s) for s in found), reverse=True)

@@ -110,7 +110,7 @@ def brute_urls(rows):
         for (a, _), n in edges.items():
             out[a] += n
         rank = start
-        for _ in range(url_graph.ROUNDS):
+        for _ in range(400):
             new = Counter({h: 0.15 * x for h, x in start.items()})
             for (a, b), n in edges.items():
                 new[b] += 0.85 * rank.get(a, 0) * n / out[a]
@@ -147,6 +147,21 @@ def test_url_verdicts(spark):
     assert any(rule is None and verdict == "block" for _, _, _, rule, verdict in found)
 
 
+def test_distrust_goes_as_far_as_it_matters(spark):
+    """A chain of hosts to a blocked one, each with its share."""
+    n = 42
+    rows = [(f"h{i}", "block" if i == n - 1 else None, f'<a href="http://h{i + 1}/">x</a>' if i < n - 1 else "") for i in range(n)]
+    rows += [(f"other{i}", None, None) for i in range(20)]
+    found = {r.host: r for r in url_graph.host_verdicts(spark.createDataFrame(rows, "host string, verdict string, html string")).collect()}
+    assert len(found) == n + 20
+    whole = sum(0.15 * 0.85**k for k in range(n))
+    for i in range(n):
+        expected = (n + 20) * 0.15 * 0.85 ** (n - 1 - i) / whole
+        assert found[f"h{i}"].distrust == pytest.approx(expected, rel=1e-6)
+        assert found[f"h{i}"].blocked == (expected >= 1)
+    assert all(found[f"other{i}"].distrust == 0 for i in range(20))
+
+
 def test_url_tables(spark, pages, odd):
     for df in (pages, odd):
         rows = [(r.page_id, r.url, r.html) for r in df.collect()]
@@ -314,6 +329,37 @@ def test_licences(spark):
     assert license_scan.scanned(df.limit(0)).count() == 0
 
 
+PROSE = "It reads the logs of many machines and shows what has gone wrong on them, so that you can put it right. "
+
+
+def licence_files():
+    mit = "Our tools, {} of them, are released under the MIT License, and so are the tests that come with it."
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    )
+    rows = [(i, PROSE + "The tools are what they are, and the tests that come with it are so too. " + str(i)) for i in range(40)]
+    rows += [(100, PROSE + "\n\n" + mit.format("all")), (101, bsd), (102, None), (103, ""), (104, "It needs no licence to drive.")]
+    rows += [(105, PROSE * 3 + "\nIt is released under the MIT\nLicense. " + PROSE * 3), (106, "/* " + PROSE + "\n * Licensed under the Apache\n * License, Version 2.0.\n */")]
+    return rows
+
+
+def test_licences_by_frequencies_of_all_texts(spark):
+    """Words that most texts have weigh little; a BSD text without a title is what it says."""
+    rows = licence_files()
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'s' AS source")
+    paths = df.selectExpr("doc_id", "text", "source || '/' || doc_id AS path")
+    found = license_scan.scanned(paths, "doc_id").collect()
+    named = {r.doc_id: r.licence for r in found if r.licence}
+    assert named == {100: "MIT", 101: "BSD-2-Clause", 105: "MIT", 106: "Apache-2.0"}
+    duck = duckdb.connect()
+    documents = df.toArrow()  # noqa: F841  read by name
+    expected = {r[0]: (r[2], r[3]) for r in duck.execute(oracle.OP10).fetchall()}
+    assert {r.doc_id: (r.licence, r.score) for r in found} == expected
+
+
 def test_licence_notice_wrapped_over_lines(spark):
     about = "It reads the logs of many machines and shows what has gone wrong on them. "
     rows = [
