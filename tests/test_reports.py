@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopgrain.functions import vocabulary as words
 from shopgrain.operators.star import duplicate_keys
-from shopgrain.plans import catalog, reports
+from shopgrain.plans import catalog, reports, stored
 from shopgrain.plans.model import RetailModel
 from shopgrain.sources.contract import RAW, raw_schema
 from shopgrain.sources.driver_tables import DriverTables
@@ -121,7 +121,8 @@ class OwnFacts:
 
 def test_lines_without_an_order_id_are_no_order(spark, raw_model):
     blank = F.when(F.col("Channel") != "Lazada", F.col("OrderID"))
-    own = OwnFacts(raw_model, fact_sales=raw_model.fact_sales.withColumn("OrderID", blank))
+    facts = raw_model.fact_sales.withColumn("OrderID", blank)
+    own = OwnFacts(raw_model, fact_sales=facts, keyed_sales=lambda: facts.withColumn("OrderKey", F.col("OrderID")))
     quality = {r["Channel"]: r for r in reports.order_quality(own).collect()}
     breakdown = {r["Channel"]: r["Orders"] for r in reports.channel_breakdown(own).collect()}
     assert {c: r["Orders"] for c, r in quality.items()} == breakdown
@@ -174,4 +175,5 @@ def test_published_views_answer_sql(spark, raw_model):
 def test_every_report_is_registered():
     made = {name for name in vars(reports) if not name.startswith("_")}
     assert {r.__name__ for r in catalog.REPORTS} <= made
-    assert len(catalog.queries()) == len(catalog.REPORTS) + len(words.VIEW_NAMES) + 2
+    on_stored = len(stored.ON_MODEL) + len(stored.ON_FOLDER)
+    assert len(catalog.queries()) == len(catalog.REPORTS) + len(words.VIEW_NAMES) + on_stored + 2
