@@ -35,9 +35,10 @@ from .common import settled, sieve, through
 from .components import components
 
 PERCENT = 75
-#: Members of a block in which all pairs are estimated, and of a group that is
-#: confirmed against one text.
-BLOCK = 256
+#: Members of a block in which all pairs are estimated: a member of m travels m / BLOCK times.
+BLOCK = 1024
+#: Texts of a group that is confirmed against one text.
+PART = 256
 #: Tasks among which the pairs of one text are dealt.
 SALTS = 32
 CHUNK_PAIRS = 100_000
@@ -250,9 +251,10 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             differ = (component[i] != component[j]) & (
                 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
             )
-            if differ.any():
-                waiting.append((i[differ], j[differ]))
-                n_waiting += int(differ.sum())
+            i, j = i[differ], j[differ]
+            for at in range(0, len(i), CHUNK_PAIRS):
+                waiting.append((i[at : at + CHUNK_PAIRS], j[at : at + CHUNK_PAIRS]))
+                n_waiting += len(waiting[-1][0])
                 if n_waiting >= CHUNK_PAIRS:
                     yield from decided(*whole)
         if waiting:
@@ -323,8 +325,8 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that link, on full sets. Texts meet the text of b in parts of BLOCK."""
-    parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts"))
+    """The pairs that link, on full sets. Texts meet the text of b in parts of PART."""
+    parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PART).cast("long").alias("parts"))
     one = (
         parts.join(texts.select(F.col("id").alias("b"), "text"), "b")
         .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
