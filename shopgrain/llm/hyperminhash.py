@@ -326,17 +326,18 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs that link, on full sets. Texts meet the text of b in parts of PART."""
-    parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PART).cast("long").alias("parts"))
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int"))
+    parts = salted.groupBy("b").agg(
+        F.ceil(F.count(F.lit(1)) / PART).cast("long").alias("parts"), F.collect_set("salt").alias("salts")
+    )
     one = (
         parts.join(texts.select(F.col("id").alias("b"), "text"), "b")
         .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         .select("b", "part", F.lit(None).cast("long").alias("a"), "text")
     )
     # A text may have a link to a third of all others: its pairs meet their parts in SALTS tasks.
-    salted = parts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     other = (
-        pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int"))
-        .join(salted, ["b", "salt"])
+        salted.join(parts.select("b", "parts", F.explode("salts").alias("salt")), ["b", "salt"])
         .withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")))
         .join(texts.select(F.col("id").alias("a"), "text"), "a")
         .select("b", "part", "a", "text")
