@@ -33,15 +33,20 @@ def check_keys(dims: Mapping[str, DataFrame], relationships: Mapping[str, tuple[
 def guarded(dim: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
     """Attributes by key, as `_dim_key` and `_d_…`; a job that meets a repeated key fails.
 
-    The dimension is folded by its key, which is also how a shuffled join deals it. The
-    refusal is part of the key, so no plan can join without it.
+    The dimension is folded by its key. The refusal is part of the key, so no plan can join
+    without it. `_dim_bucket` is zero; it is taken from the row, as Spark folds a literal
+    into the condition and would then deal the join by the key alone.
     """
     rows = dim.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.count(F.lit(1)).alias("_rows"), *[F.any_value(c).alias(f"_d_{n}") for c, n in columns.items()]
     )
     message = F.concat(F.lit(f"{key} is not unique in its dimension: "), F.col(key).cast("string"))
     refused = F.raise_error(message).cast(dim.schema[key].dataType)
-    return rows.select(F.when(F.col("_rows") == 1, F.col(key)).otherwise(refused).alias("_dim_key"), *rows.columns[2:])
+    return rows.select(
+        F.when(F.col("_rows") == 1, F.col(key)).otherwise(refused).alias("_dim_key"),
+        (F.col("_rows") - 1).cast("int").alias("_dim_bucket"),
+        *rows.columns[2:],
+    )
 
 
 def dimension_join(
@@ -59,7 +64,7 @@ def dimension_join(
     """
     bucket = F.when(fact[key].isNull(), F.pmod(F.xxhash64(*row_id), F.lit(NULL_KEY_BUCKETS))).otherwise(0)
     left = fact.withColumn("_bucket", bucket.cast("int"))
-    right = guarded(dim, key, columns).withColumn("_dim_bucket", F.lit(0))
+    right = guarded(dim, key, columns)
     joined = left.join(
         right, (left[key] == right["_dim_key"]) & (left["_bucket"] == right["_dim_bucket"]), "left"
     )

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +95,14 @@ def test_large_dimensions_are_not_broadcast(facts, dim, spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert "_bucket" in plan  # absent keys are spread
+
+
+def test_absent_keys_are_dealt_by_their_bucket(facts, dim, spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joined(facts, dim)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert re.search(r"SortMergeJoin \[StoreID#\d+, _bucket#\d+\]", plan)
+    assert re.search(r"Exchange hashpartitioning\(StoreID#\d+, _bucket#\d+", plan)
