@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from shopgrain.plans.model import RetailModel
 from shopgrain.sources.contract import RAW, contract_columns, raw_schema
+from shopgrain.sources.driver_tables import DriverTables
 from shopgrain.sources.tables import JdbcSource, JdbcSplit, as_raw, read_files, read_sales, write_sales
 
 from . import raw_tables
@@ -69,3 +72,12 @@ def test_writing_a_month_leaves_the_others(spark, model, tmp_path):
 def test_a_name_outside_the_contract_is_refused(spark):
     with pytest.raises(ValueError, match="Colour"):
         contract_columns("dim_product", {"Colour": "red"})
+
+
+def test_targets_of_stores_are_made_in_many_tasks(spark, folder):
+    """The stores come from one small file; their months are not all made where it is read."""
+    source = DriverTables(spark, folder)
+    assert source.table("supplier").select(F.spark_partition_id()).distinct().count() == 1
+    targets = source.raw("rms.E00TargetStores")
+    assert targets.select(F.spark_partition_id()).distinct().count() > 1
+    assert targets.groupBy("StoreId").count().where("StoreId is not null").count() == source.table("supplier").count()
