@@ -90,3 +90,34 @@ def test_lines_of_orders_that_are_not_named_are_refused(spark, tmp_path):
     with pytest.raises(upkeep.UnnamedOrderError):
         upkeep.apply_changes(spark, path, made.where("Channel = 'A'"), made)
     same(read_sales(spark, path), made)
+
+
+def test_lines_that_stay_are_not_shuffled(spark, model, tmp_path, monkeypatch):
+    """Only lines that are given, or may be of a named order, are dealt by month again."""
+    path = str(tmp_path / "sales")
+    write_sales(model.fact_sales, path)
+    stored = read_sales(spark, path)
+    one = settle(stored.where("OrderID is not null").limit(1))
+    dealt = []
+
+    def watched(sales, path, gathered=None, **more):
+        dealt.append((sales.count(), gathered.count()))
+        return write_sales(sales, path, gathered=gathered, **more)
+
+    monkeypatch.setattr(upkeep, "write_sales", watched)
+    n = stored.where(F.col("YearMonth") == one.first()["YearMonth"]).count()
+    upkeep.apply_changes(spark, path, one, one.drop("YearMonth"))
+    ((moved, stay),) = dealt
+    assert stay > n / 2 and moved < n / 2
+
+
+def test_a_month_of_many_small_files_is_gathered(spark, tmp_path):
+    path = str(tmp_path / "sales")
+    made = lines(spark, {("A", str(i)): (19970115, "c", [1, 2]) for i in range(40)})
+    for part in range(12):
+        write_sales(made.where(F.col("OrderID").cast("int") % 12 == part), path, mode="append")
+    files = lambda: len(list((tmp_path / "sales" / "YearMonth=199701").glob("*.parquet")))
+    assert files() == 12
+    upkeep.apply_changes(spark, path, made.where("OrderID = 3"), made.where("OrderID = 3"))
+    assert files() < 12
+    same(read_sales(spark, path), made)
