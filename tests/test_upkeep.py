@@ -121,3 +121,21 @@ def test_a_month_of_many_small_files_is_gathered(spark, tmp_path):
     upkeep.apply_changes(spark, path, made.where("OrderID = 3"), made.where("OrderID = 3"))
     assert files() < 12
     same(read_sales(spark, path), made)
+
+
+def test_monthly_sales_are_the_sales(model):
+    """Dealt by month before the contract columns are made; no month lies in many tasks."""
+    monthly = model.monthly_sales()
+    same(monthly, model.fact_sales)
+    tasks = monthly.select(F.col("DateKey").substr(1, 6).alias("m"), F.spark_partition_id().alias("p")).distinct()
+    assert tasks.groupBy("m").count().where("count > 1").isEmpty()
+
+
+def test_months_are_written_without_a_sort(spark, model, tmp_path):
+    """A task that writes few months keeps a file open for each: its rows need no memory."""
+    from shopgrain.session import SETTINGS
+
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 12 and "spark.sql.maxConcurrentOutputFileWriters" in SETTINGS
+    path = str(tmp_path / "sales")
+    write_sales(model.monthly_sales(), path, together=True)
+    same(read_sales(spark, path), model.fact_sales)
