@@ -372,3 +372,22 @@ def test_licence_notice_wrapped_over_lines(spark):
     df = spark.createDataFrame(rows, "file_id long, path string, text string")
     found = {r.file_id: r.licence for r in license_scan.scanned(df).collect()}
     assert found == {1: "MIT", 2: "BSD-3-Clause", 3: "ISC", 4: None, 5: None}
+
+
+def test_licence_in_lines_that_do_not_end(spark):
+    """Long lines without an end and long rows of numbers need no deep stack; the SQL finds the same."""
+    endless = "many words without an end " * 4000
+    rows = [
+        (1, endless + "licence " + endless),
+        (2, "Released under the MIT License. " + endless + "licence"),
+        (3, "Released under the ISC License; " + "1.2" * 20_000 + " a... b?! c.. d licence"),
+        (4, "1" + ".1" * 50_000),
+        (5, "licence " + ".5" * 50_000 + "\nLicensed under CC BY-NC 4.0."),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'s' AS source")
+    found = license_scan.scanned(df.selectExpr("doc_id", "text", "source || '/' || doc_id AS path"), "doc_id").collect()
+    assert {r.doc_id: r.licence for r in found} == {1: None, 2: "MIT", 3: "ISC", 4: None, 5: "CC-BY-NC-4.0"}
+    duck = duckdb.connect()
+    documents = df.toArrow()  # noqa: F841  read by name
+    expected = {r[0]: (r[2], r[3]) for r in duck.execute(oracle.OP10).fetchall()}
+    assert {r.doc_id: (r.licence, r.score) for r in found} == expected
